@@ -49,8 +49,13 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions as delivered: text ids and amounts, with lineage."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
-    cents = F.col("l_extendedprice").cast("decimal(18,2)") % F.lit(1000)
-    signed = F.when(_every("l_orderkey", 97), -cents).otherwise(cents).cast("decimal(18,2)").cast("string")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint") % 100_000
+    signed = F.concat(
+        F.when(_every("l_orderkey", 97) & (cents > 0), "-").otherwise(""),
+        F.call_function("div", cents, F.lit(100)).cast("string"),
+        F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0"),
+    )
     status = (
         F.when(F.col("o_orderstatus") == "F", " Completed ").when(F.col("o_orderstatus") == "O", "PENDING").otherwise("failed")
     )

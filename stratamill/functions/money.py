@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 
 
 def to_money(raw: Column | str) -> Column:
-    """Parse as double, two decimals half up; text that is no number gives NULL."""
+    """Parse as double, two decimals half up; text that is no number gives NULL.
+
+    A value that already is the double of a two-decimal number is its own
+    rounding, and skips the far slower general case.
+    """
     column = F.col(raw) if isinstance(raw, str) else raw
-    return F.round(column.try_cast("double"), 2)
+    value = column.try_cast("double")
+    two_decimals = F.rint(value * F.lit(100.0)) / F.lit(100.0) == value
+    return F.when(two_decimals, value).otherwise(F.round(value, 2))
 
 
 def to_cents(amount: Column | str) -> Column:

@@ -1,0 +1,30 @@
+"""Every query against its SQL in DuckDB, value by value."""
+
+import os
+
+import pytest
+from parity import differences
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query_equals_its_sql(spark, name):
+    assert differences(spark, contract.queries()[name], contract.oracle_sql()[name], SF_DIR) is None
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry_runs(spark):
+    assert contract.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_no_query_leaves_the_jvm(spark, name):
+    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct"):
+        assert operator not in plan

@@ -1,0 +1,107 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratamill.contracts import CUSTOMERS, PRODUCTS, TRANSACTIONS
+from stratamill.operators.cleanse import cleanse, cleanse_customers, cleanse_products, cleanse_transactions
+from stratamill.operators.combine import conform, union_positional, union_sources
+from stratamill.operators.dedup import latest_per_key
+from stratamill.operators.lineage import stamp
+from stratamill.plans.silver import silver_table
+
+RAW = "transaction_id string, amount string, txn_date string, _ingested_at timestamp"
+
+
+def at(hour):
+    return dt.datetime(2024, 1, 1, hour)
+
+
+def test_stamp_adds_lineage(spark):
+    row = stamp(spark.range(1), "feed/x", "gcp", run_ts=at(3)).first()
+    assert (row._source, row._layer, row._cloud) == ("feed/x", "bronze", "gcp")
+    assert (row._ingested_at, row._date_part) == (at(3), dt.date(2024, 1, 1))
+
+
+def test_stamp_defaults_to_now(spark):
+    frame = stamp(spark.range(2), "s", "aws", layer="raw")
+    assert frame.select("_layer").distinct().first()[0] == "raw"
+    assert frame.filter(F.col("_ingested_at") <= F.current_timestamp()).count() == 2
+
+
+def test_latest_row_wins(spark):
+    df = spark.createDataFrame([("a", 1, at(1)), ("a", 2, at(3)), ("a", 3, at(2)), ("b", 4, at(1))], "k string, v int, _ingested_at timestamp")
+    assert {(r.k, r.v) for r in latest_per_key(df, "k").collect()} == {("a", 2), ("b", 4)}
+
+
+def test_null_time_loses_and_null_keys_form_one_group(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, at(1)), (None, 3, at(1)), (None, 4, at(2))], "k string, v int, _ingested_at timestamp")
+    assert {(r.k, r.v) for r in latest_per_key(df, "k").collect()} == {("a", 2), (None, 4)}
+
+
+@pytest.mark.parametrize("ties", [None, ["v"]])
+def test_ties_do_not_depend_on_row_order(spark, ties):
+    rows = [("a", v, at(1)) for v in range(50)]
+    winners = set()
+    for order in (rows, rows[::-1], rows[25:] + rows[:25]):
+        df = spark.createDataFrame(order, "k string, v int, _ingested_at timestamp").repartition(5)
+        winners.add(latest_per_key(df, "k", tie_break=ties).first().v)
+    assert len(winners) == 1
+    if ties:
+        assert winners == {49}
+
+
+def test_cleanse_transactions(spark):
+    rows = [
+        ("t1", "10.005", "2024-03-31"),
+        ("t2", "0.004", "2024-01-01"),
+        ("t3", "-5", "2024-01-01"),
+        ("t4", "N/A", "2024-01-01"),
+        (None, "5", "2024-01-01"),
+        ("t5", "7", "not a date"),
+        ("t6", None, "2024-01-01"),
+        ("t7", "0.005", "2024-01-01"),
+    ]
+    got = {r.transaction_id: r for r in cleanse_transactions(spark.createDataFrame(rows, "transaction_id string, amount string, txn_date string")).collect()}
+    assert set(got) == {"t1", "t5", "t7"}
+    assert (got["t1"].amount, got["t1"].txn_year, got["t1"].txn_month) == (10.01, 2024, 3)
+    assert (got["t5"].txn_date, got["t5"].txn_year) == (None, None)
+    assert got["t7"].amount == 0.01
+
+
+def test_cleanse_dimensions(spark):
+    customers = cleanse_customers(spark.createDataFrame([("c", " John@X.COM ", " us "), (None, "a", "b"), ("d", "\tA ", None)], "customer_id string, email string, country_code string"))
+    assert {tuple(r) for r in customers.collect()} == {("c", "john@x.com", "US"), ("d", "\ta", None)}
+    products = cleanse_products(spark.createDataFrame([("p", " Toys ", "1.005"), (None, "x", "1"), ("q", None, "bad")], "product_id string, category string, price string"))
+    assert {tuple(r) for r in products.collect()} == {("p", "toys", 1.01), ("q", None, None)}
+
+
+def test_unknown_table_is_only_stamped(spark):
+    frame = cleanse(spark.range(3), "other", at(1))
+    assert frame.columns == ["id", "_silver_processed_at"] and frame.count() == 3
+
+
+def test_invalid_latest_row_hides_the_older_valid_one(spark):
+    rows = [("a", "10", "2024-01-01", at(1)), ("a", "-1", "2024-01-01", at(2)), ("b", "3", "2024-01-01", at(1))]
+    assert [r.transaction_id for r in silver_table(spark.createDataFrame(rows, RAW), TRANSACTIONS).collect()] == ["b"]
+
+
+def test_three_sources_with_different_columns_and_id_types(spark):
+    a = spark.createDataFrame([(1, "us")], "customer_id int, country_code string")
+    b = spark.createDataFrame([("x-2", "e@x")], "customer_id string, email string")
+    c = spark.createDataFrame([("3", "gb", "v")], "customer_id string, country_code string, loyalty string")
+    united = union_sources(conform(f, CUSTOMERS) for f in (a, b, c))
+    got = {(r.customer_id, r.country_code, r.email, r.loyalty) for r in united.collect()}
+    assert got == {("1", "us", None, None), ("x-2", None, "e@x", None), ("3", "gb", None, "v")}
+
+
+def test_conform_turns_misfits_into_null(spark):
+    row = conform(spark.createDataFrame([("p", "abc")], "product_id string, price string"), PRODUCTS).first()
+    assert (row.product_id, row.price, row.category) == ("p", None, None)
+
+
+def test_union_by_position(spark):
+    left = spark.createDataFrame([(1, "a")], "x int, y string")
+    right = spark.createDataFrame([(2, "b")], "p int, q string")
+    united = union_positional([left, right])
+    assert united.columns == ["x", "y"] and {tuple(r) for r in united.collect()} == {(1, "a"), (2, "b")}
