@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,6 +28,10 @@ class LayoutTask:
     partition_by: tuple[str, ...] = ()
 
 
+def _partition(directory: str) -> str:
+    return directory.removeprefix(directory.split("/")[0])
+
+
 def _fragmented(spark: SparkSession, root: str, live: Sequence[str], file_bytes: int) -> list[str]:
     """Live directories of partitions that hold more than one file below the target size."""
     partition = F.regexp_replace("directory", "^snapshot=[^/]+", "")
@@ -34,7 +39,14 @@ def _fragmented(spark: SparkSession, root: str, live: Sequence[str], file_bytes:
         F.count_if(F.col("length") < file_bytes).alias("small_files")
     )
     ragged = {row.partition for row in small.filter("small_files > 1").select("partition").collect()}
-    return [d for d in live if d.removeprefix(d.split("/")[0]) in ragged]
+    return [d for d in live if _partition(d) in ragged]
+
+
+def _unclustered(live: Sequence[str], mark: str) -> list[str]:
+    """Live directories of partitions that are not one directory with this mark."""
+    held = Counter(_partition(d) for d in live)
+    done = {_partition(d) for d in live if d.startswith(f"snapshot={mark}-") and held[_partition(d)] == 1}
+    return [d for d in live if _partition(d) not in done]
 
 
 def compact_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -50,25 +62,32 @@ def compact_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGE
 
 
 def cluster_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite the table clustered by its columns; returns the directories rewritten.
+    """Rewrite what is not yet clustered by the task's columns; returns the directories rewritten.
 
-    Rows with equal values are told apart by their place in their file, so a
-    hot value, even one of identical rows, is spread over several output files.
+    A clustered snapshot carries its columns in its name, so a partition that
+    no upsert has touched since is left alone, and the daily cost follows the
+    changed partitions instead of the table. Rows with equal values are told
+    apart by their place in their file: a hot value, even one of identical
+    rows, is spread over several output files.
     """
     live = live_directories(spark, task.root)
-    rows = read_directories(spark, task.root, live)
-    total = list_files(spark, task.root, live).agg(F.sum("length")).first()[0] or 0
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    placed = cluster(
-        rows,
-        task.cluster_by,
-        files=max(1, -(-total // file_bytes)),
-        partition_by=task.partition_by,
-        spread=place,
-    )
-    written = stage(placed, task.root, task.partition_by, rebalance=False)
-    publish(spark, task.root, written)
-    return len(live)
+    mark = "by-" + "-".join(task.cluster_by)
+    loose = _unclustered(live, mark)
+    if not live:
+        raise FileNotFoundError(f"nothing published at {task.root}")
+    if loose:
+        rows = read_directories(spark, task.root, loose)
+        total = list_files(spark, task.root, loose).agg(F.sum("length")).first()[0] or 0
+        placed = cluster(
+            rows,
+            task.cluster_by,
+            files=max(1, -(-total // file_bytes)),
+            partition_by=task.partition_by,
+            spread=F.xxhash64("_metadata.file_path", "_metadata.row_index"),
+        )
+        written = stage(placed, task.root, task.partition_by, rebalance=False, mark=mark)
+        publish(spark, task.root, sorted({*live, *written} - set(loose)))
+    return len(loose)
 
 
 def maintain(spark: SparkSession, tasks: Sequence[LayoutTask], file_bytes: int = TARGET_FILE_BYTES) -> dict[str, int]:

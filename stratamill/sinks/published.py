@@ -78,16 +78,18 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
     return read_directories(spark, root, live)
 
 
-def stage(df: DataFrame, root: str, partition_by: Sequence[str] = (), *, rebalance: bool = True) -> list[str]:
+def stage(
+    df: DataFrame, root: str, partition_by: Sequence[str] = (), *, rebalance: bool = True, mark: str = "rows"
+) -> list[str]:
     """Write rows to a fresh snapshot, not yet visible; returns its directories.
 
     Rows are rebalanced by the partition columns first: one partition comes
     from few tasks instead of from all of them, and adaptive execution splits
     a partition that holds much of the data. Pass ``rebalance=False`` for
-    rows that are already laid out.
+    rows that are already laid out. ``mark`` starts the snapshot's name.
     """
     spark = df.sparkSession
-    snapshot = f"snapshot=s{uuid.uuid4().hex}"
+    snapshot = f"snapshot={mark}-{uuid.uuid4().hex}"
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     df.write.mode("error").partitionBy(*partition_by).parquet(f"{root}/{snapshot}")

@@ -1,0 +1,155 @@
+"""The physical plans the design relies on."""
+
+import contextlib
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratamill.catalogue import queries
+from stratamill.operators.dedup import latest_per_key
+from stratamill.operators.enrich import enrich
+from stratamill.plans import gold, marts
+from stratamill.sinks.published import list_files, stage
+
+SF_DIR = "/root/testdata/sf0.001"
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@contextlib.contextmanager
+def settings(spark, values):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    """Transactions with one customer and one product on a third of all rows."""
+    ids = spark.range(0, 240_000, 1, 8)
+
+    def skewed(name, salt):
+        return F.when(F.col("id") % 3 == 0, f"{name}-hot").otherwise(
+            F.concat(F.lit(f"{name}-"), (F.abs(F.xxhash64(F.col("id") + salt)) % 2000).cast("string"))
+        )
+
+    return ids.select(
+        F.col("id").cast("string").alias("transaction_id"),
+        skewed("c", 1).alias("customer_id"),
+        skewed("p", 2).alias("product_id"),
+        ((F.col("id") % 99_999 + 1) / 100).alias("amount"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 200).cast("int")).alias("txn_date"),
+        F.lit(2024).alias("txn_year"),
+        (F.col("id") % 7 + 1).cast("int").alias("txn_month"),
+    )
+
+
+@pytest.fixture(scope="module")
+def dimensions(spark):
+    ids = spark.range(2000).select(F.col("id").cast("string").alias("i"))
+    hot = spark.createDataFrame([("hot",)], "i string")
+    both = ids.union(hot)
+    return (
+        both.select(F.concat(F.lit("c-"), "i").alias("customer_id"), F.lit("US").alias("country_code")),
+        both.select(F.concat(F.lit("p-"), "i").alias("product_id"), F.lit("toys").alias("category")),
+    )
+
+
+def test_deduplication_limits_rows_before_the_shuffle(spark, facts):
+    frame = facts.withColumn("_ingested_at", F.col("txn_date").cast("timestamp"))
+    text = plan(latest_per_key(frame, "customer_id", tie_break=["transaction_id"]))
+    final, partial = text.index("row_number(), 1, Final"), text.index("row_number(), 1, Partial")
+    assert final < text.index("Exchange hashpartitioning(customer_id") < partial
+
+
+def test_null_keys_leave_before_the_deduplication(spark):
+    text = plan(queries.silver_transactions(spark, SF_DIR))
+    assert "% 101" in text.split("FileScan parquet")[1].split("PushedFilters")[0]
+
+
+def test_scan_reads_only_what_is_needed(spark):
+    text = plan(queries.customer_rfm(spark, SF_DIR))
+    lines = [line for line in text.splitlines() if "FileScan parquet" in line and "l_orderkey" in line]
+    assert lines and all("l_quantity" not in line and "l_comment" not in line for line in lines)
+
+
+def test_date_filter_reaches_the_scan(spark, facts, dimensions, folder):
+    facts.limit(1000).write.parquet(f"{folder}/facts")
+    daily = gold.daily_revenue(spark.read.parquet(f"{folder}/facts"), *dimensions)
+    text = plan(marts.top_categories(daily, as_of=dt.date(2024, 7, 1)))
+    assert "GreaterThanOrEqual(txn_date,2024-06-01)" in text.split("PushedFilters")[1]
+
+
+@pytest.mark.parametrize("model", ["customer_rfm", "product_performance"])
+def test_dimension_meets_aggregated_rows_only(spark, facts, dimensions, model):
+    customers, products = dimensions
+    with settings(spark, NO_BROADCAST):
+        frame = (
+            gold.customer_rfm(facts, customers) if model == "customer_rfm" else gold.product_performance(facts, products)
+        )
+        text = plan(frame)
+    fact_side = text.split("SortMergeJoin")[1]
+    assert fact_side.index("HashAggregate") < fact_side.index("Range (0, 240000")
+
+
+SPLIT_EARLY = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def final_plan(df):
+    """The plan after adaptive execution of the whole result."""
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
+def test_hot_keys_are_split_in_row_level_joins(spark, facts, dimensions):
+    with settings(spark, SPLIT_EARLY):
+        joined = enrich(facts, *dimensions)
+        assert final_plan(joined).count("SortMergeJoin(skew=true)") == 2
+        assert joined.filter("country_code = 'US' and category = 'toys'").count() == 240_000
+
+
+def test_hot_product_is_split_in_daily_revenue(spark, facts, dimensions):
+    with settings(spark, SPLIT_EARLY):
+        assert "SortMergeJoin(skew=true) [product_id" in final_plan(gold.daily_revenue(facts, *dimensions))
+
+
+def test_hot_partition_is_split_when_written(spark, folder):
+    rows = spark.range(0, 300_000, 1, 8).selectExpr("uuid() as k", "if(id % 3 = 0, 1, id % 40) as y")
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "500k", "spark.sql.shuffle.partitions": "16"}):
+        directories = stage(rows, folder, ("y",))
+    files = list_files(spark, folder, directories).groupBy("directory").count()
+    per_partition = {r.directory.split("y=")[1]: r["count"] for r in files.collect()}
+    assert per_partition["1"] >= 3 and sum(per_partition.values()) < 100
+
+
+def test_skewed_models_stay_exact(spark, facts, dimensions):
+    customers, products = dimensions
+    daily = gold.daily_revenue(facts, customers, products)
+    by_day = facts.groupBy("txn_date").agg(
+        F.count("*").alias("n"), F.countDistinct("customer_id").alias("c"), F.sum(F.rint(F.col("amount") * 100)).alias("s")
+    )
+    both = daily.join(by_day, "txn_date")
+    wrong = both.filter(
+        (F.col("total_transactions") != F.col("n")) | (F.col("unique_customers") != F.col("c")) | (F.col("total_revenue") != F.col("s") / 100)
+    )
+    assert both.count() == 200 and wrong.count() == 0
+    hot = gold.customer_rfm(facts, customers).filter("customer_id = 'c-hot'").first()
+    assert hot.total_orders == 80_000
