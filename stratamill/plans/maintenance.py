@@ -55,7 +55,7 @@ def compact_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGE
     ragged = _fragmented(spark, task.root, live, file_bytes)
     if ragged:
         with target_file_bytes(spark, file_bytes):
-            rows = compact(read_directories(spark, task.root, ragged), task.partition_by)
+            rows = compact(read_directories(spark, task.root, ragged, like=live), task.partition_by)
             written = stage(rows, task.root, task.partition_by, rebalance=False)
         publish(spark, task.root, sorted({*live, *written} - set(ragged)))
     return len(ragged)
@@ -76,7 +76,7 @@ def cluster_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGE
     if not live:
         raise FileNotFoundError(f"nothing published at {task.root}")
     if loose:
-        rows = read_directories(spark, task.root, loose)
+        rows = read_directories(spark, task.root, loose, like=live)
         total = list_files(spark, task.root, loose).agg(F.sum("length")).first()[0] or 0
         placed = cluster(
             rows,

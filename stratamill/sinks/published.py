@@ -27,24 +27,21 @@ from stratamill.operators.upsert import accept_newer, untouched_rows
 
 
 def directory_of(file_path: Column) -> Column:
-    """Directory of a data file relative to its table root."""
-    return F.regexp_extract(file_path, r"(snapshot=[^/]+(?:/[^/]+=[^/]*)*)/[^/]+$", 1)
+    """Directory of a data file relative to its table root, from plain string functions."""
+    below = F.substring_index(file_path, "snapshot=", -1)
+    file_name = F.substring_index(file_path, "/", -1)
+    return F.concat(F.lit("snapshot="), F.left(below, F.length(below) - F.length(file_name) - F.lit(1)))
 
 
-def _published_lists(spark: SparkSession, root: str) -> DataFrame | None:
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the newest published version, 0 for a table that does not exist."""
     try:
-        return spark.read.schema("value string, version int").text(f"{root}/published")
+        lists = spark.read.schema("value string").text(f"{root}/published").inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return 0
         raise
-
-
-def current_version(spark: SparkSession, root: str) -> int:
-    """Number of the newest published version, 0 for a table that does not exist."""
-    lists = _published_lists(spark, root)
-    newest = None if lists is None else lists.agg(F.max("version")).first()[0]
-    return newest or 0
+    return max((int(path.split("/version=")[1].split("/")[0]) for path in lists), default=0)
 
 
 def live_directories(spark: SparkSession, root: str) -> list[str]:
@@ -55,19 +52,29 @@ def live_directories(spark: SparkSession, root: str) -> list[str]:
     return sorted(row.value for row in spark.read.text(f"{root}/published/version={version}").collect())
 
 
-def read_directories(spark: SparkSession, root: str, directories: Sequence[str]) -> DataFrame:
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's name for it
+
+
+def read_directories(
+    spark: SparkSession, root: str, directories: Sequence[str], like: Sequence[str] = ()
+) -> DataFrame:
     """Rows of the given directories; partition columns come back from the paths.
 
     One job writes one snapshot with one schema, so the merged schema is taken
     from one directory per snapshot instead of from every footer. Partition
-    values are numbers or dates.
+    values are numbers or dates. A partition column that is NULL in all of the
+    directories has the type it has in the directories ``like``.
     """
     reader = spark.read.option("basePath", root)
-    one_per_snapshot = {d.split("/")[0]: f"{root}/{d}" for d in directories}
+    typed_last = sorted([*like, *directories], key=lambda d: (NULL_PARTITION not in d, d in directories))
+    one_per_snapshot = {d.split("/")[0]: f"{root}/{d}" for d in typed_last}
     merged = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*one_per_snapshot.values()).schema
     from_paths = {level.split("=")[0] for d in directories for level in d.split("/")}
     stored = T.StructType([f for f in merged.fields if f.name not in from_paths])
-    return reader.schema(stored).parquet(*[f"{root}/{d}" for d in directories]).drop("snapshot")
+    rows = reader.schema(stored).parquet(*[f"{root}/{d}" for d in directories]).drop("snapshot")
+    known = {f.name: f.dataType for f in merged.fields if not isinstance(f.dataType, T.NullType)}
+    all_null = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.NullType)]
+    return rows.withColumns({c: F.col(c).cast(known.get(c, T.StringType())) for c in all_null}) if all_null else rows
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:
@@ -119,6 +126,26 @@ def replace_published(df: DataFrame, root: str, partition_by: Sequence[str] = ()
     return publish(df.sparkSession, root, stage(df, root, partition_by))
 
 
+def _directories_holding(table: DataFrame, incoming: DataFrame, key: str, live: Sequence[str]) -> set[str]:
+    """Live directories with a row whose key comes in.
+
+    This is the one step that looks at every key of the table. It compares and
+    moves two 64-bit hashes per row, of the key and of the directory. Keys that
+    collide can only name a directory too many, which is then rewritten as it was.
+    """
+    spark = table.sparkSession
+    held = table.filter(F.col(key).isNotNull()).select(
+        F.xxhash64(key).alias("key_hash"), F.xxhash64(directory_of(F.col("_metadata.file_path"))).alias("directory_hash")
+    )
+    coming = incoming.filter(F.col(key).isNotNull()).select(F.xxhash64(key).alias("key_hash"))
+    hit = held.join(coming, "key_hash", "left_semi").select("directory_hash").distinct()
+    names = spark.createDataFrame([(d,) for d in live], "directory string").select(
+        "directory", F.xxhash64("directory").alias("directory_hash")
+    )
+    by_hash = {row.directory_hash: row.directory for row in names.collect()}
+    return {by_hash[row.directory_hash] for row in hit.collect()}
+
+
 def stage_upsert(
     source: DataFrame,
     root: str,
@@ -143,13 +170,12 @@ def stage_upsert(
     incoming = stage(source, root, partition_by)
     if not incoming:
         return live
-    incoming_rows = read_directories(spark, root, incoming)
-    held = read_directories(spark, root, live).select(key, directory_of(F.col("_metadata.file_path")).alias("directory"))
-    hit_rows = held.join(incoming_rows.select(key), key, "left_semi").select("directory").distinct()
-    hit = {row.directory for row in hit_rows.collect()}
+    incoming_rows = read_directories(spark, root, incoming, like=live)
+    hit = _directories_holding(read_directories(spark, root, live), incoming_rows, key, live)
     if not hit:
         return sorted({*live, *incoming})
-    kept = stage(untouched_rows(read_directories(spark, root, sorted(hit)), incoming_rows, key), root, partition_by)
+    touched = read_directories(spark, root, sorted(hit), like=live)
+    kept = stage(untouched_rows(touched, incoming_rows, key), root, partition_by)
     return sorted({*live, *incoming, *kept} - hit)
 
 

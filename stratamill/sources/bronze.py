@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratamill.contracts import TableContract
 from stratamill.operators.combine import conform, union_sources
@@ -39,9 +41,13 @@ def read_all_bronze(
     locations: Mapping[str, str],
     contract: TableContract,
     schema: str | None = None,
+    since: dt.date | None = None,
 ) -> DataFrame:
     """The table from every source that has it, conformed and united.
 
+    ``since`` keeps the ingest dates from that day on, and only their
+    partitions are read.
+
     A source without data is logged and skipped; if none has any, this
     raises. Unreadable data or missing rights are errors, not empty sources.
     """
@@ -54,6 +60,8 @@ def read_all_bronze(
                 raise
             logger.warning("no bronze data for %s from %s at %s", contract.name, source, path)
             continue
+        if since is not None:
+            frame = frame.filter(F.col("_date_part") >= F.lit(since))
         frames.append(conform(frame, contract))
     if not frames:
         raise RuntimeError(f"no bronze data for {contract.name} in any of {sorted(locations)}")

@@ -6,6 +6,8 @@ from pathlib import Path
 
 import pytest
 
+from stratamill.contracts import TRANSACTIONS
+from stratamill.operators.lineage import stamp
 from stratamill.plans.checks import QualityError
 from stratamill.plans.jobs import (
     Lake,
@@ -18,8 +20,8 @@ from stratamill.plans.jobs import (
     read_silver,
     silver_job,
 )
-from stratamill.contracts import TRANSACTIONS
 from stratamill.sinks.published import current_version, read_published
+from stratamill.sources.bronze import append_bronze
 
 TODAY = dt.date(2024, 3, 1)
 
@@ -136,3 +138,25 @@ def test_mart_alone(spark, lake):
     silver_job(spark, lake, tables=["transactions"])
     mart_job(spark, lake)
     assert read_published(spark, f"{lake.marts}/mart_revenue_by_cloud").count() == 3
+
+
+def test_merging_only_the_news_equals_merging_everything(spark, lake, folder):
+    other = Lake(lake.raw, lake.bronze, f"{folder}/silver_all", lake.gold, lake.marts)
+    days = [dt.datetime(2024, 3, 1, 3), dt.datetime(2024, 3, 2, 3), dt.datetime(2024, 3, 3, 3)]
+    batches = [
+        [("a", "c", "p", "1", "2024-01-01", "x"), ("b", "c", "p", "2", "2024-01-01", "x"), ("d", "c", "p", "3", None, "x")],
+        [("a", "c", "p", "9", "2024-02-01", "x"), ("b", "c", "p", "-2", "2024-01-01", "x"), ("e", "c", "p", "-1", None, "x")],
+        [("a", "c", "p", "bad", "2024-02-01", "x"), ("d", "c", "p", "4", "2023-01-01", "x"), ("e", "c", "p", "5", None, "x")],
+    ]
+    for day, batch in zip(days, batches, strict=True):
+        path = f"{folder}/feed/{day:%d}"
+        kind = "transaction_id string, customer_id string, product_id string, amount string, txn_date string, status string"
+        spark.createDataFrame(batch, kind).write.parquet(path)
+        append_bronze(stamp(spark.read.parquet(path), "feed", "aws", run_ts=day), lake.bronze_of("transactions")["aws"])
+        silver_job(spark, lake, tables=["transactions"], since=day.date(), run_ts=day)
+        silver_job(spark, other, tables=["transactions"], run_ts=day)
+        news, everything = (
+            {tuple(r) for r in read_silver(spark, where, "transactions").drop("_silver_processed_at").collect()} for where in (lake, other)
+        )
+        assert news == everything
+    assert {r.transaction_id: r.amount for r in read_silver(spark, lake, "transactions").collect()} == {"a": 9.0, "b": 2.0, "d": 4.0, "e": 5.0}

@@ -156,3 +156,14 @@ def test_publish_lists_exactly_what_it_is_given(spark, folder):
     publish(spark, folder, first)
     publish(spark, folder, [*first, *second])
     assert read_published(spark, folder).count() == 7
+
+
+def test_only_the_null_partition_is_touched(spark, folder):
+    upsert_published(make(spark, ("a", 1, None), ("b", 1, None)), folder, "k", ("y",))
+    upsert_published(make(spark, ("a", 2, None)), folder, "k", ("y",))
+    assert rows(read_published(spark, folder)) == Counter([("a", 2, None), ("b", 1, None)])
+    upsert_published(make(spark, ("c", 1, 5), ("d", 1, 6)), folder, "k", ("y",))
+    upsert_published(make(spark, ("b", 3, 5)), folder, "k", ("y",))
+    table = read_published(spark, folder)
+    assert dict(table.dtypes)["y"] == "int"
+    assert rows(table) == Counter([("a", 2, None), ("b", 3, 5), ("c", 1, 5), ("d", 1, 6)])
