@@ -18,6 +18,7 @@ from stratamill.operators.quality import conservation, freshness, parity, repeat
 from stratamill.operators.upsert import upsert
 from stratamill.plans import checks, gold, marts
 from stratamill.plans.silver import silver_table
+from stratamill.sinks.written import written_once
 from stratamill.sources.files import read_files
 
 # What each source leaves out of its feed.
@@ -100,29 +101,34 @@ def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _daily_revenue(silver: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers, products = silver_customers(spark, sf_dir), silver_products(spark, sf_dir)
+    return gold.daily_revenue(silver, customers, products, run_ts=_run_ts())
+
+
+def _customer_rfm(silver: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.customer_rfm(silver, silver_customers(spark, sf_dir), as_of=feeds.AS_OF, run_ts=_run_ts())
+
+
+def _product_performance(silver: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.product_performance(silver, silver_products(spark, sf_dir), run_ts=_run_ts())
+
+
 def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.daily_revenue(
-        silver_transactions(spark, sf_dir),
-        silver_customers(spark, sf_dir),
-        silver_products(spark, sf_dir),
-        run_ts=_run_ts(),
-    )
+    return _daily_revenue(silver_transactions(spark, sf_dir), spark, sf_dir)
 
 
 def customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.customer_rfm(
-        silver_transactions(spark, sf_dir), silver_customers(spark, sf_dir), as_of=feeds.AS_OF, run_ts=_run_ts()
-    )
+    return _customer_rfm(silver_transactions(spark, sf_dir), spark, sf_dir)
 
 
 def product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.product_performance(
-        silver_transactions(spark, sf_dir), silver_products(spark, sf_dir), run_ts=_run_ts()
-    )
+    return _product_performance(silver_transactions(spark, sf_dir), spark, sf_dir)
 
 
 def units_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conservation(product_performance(spark, sf_dir), "units_sold", silver_transactions(spark, sf_dir))
+    silver = silver_transactions(spark, sf_dir)
+    return conservation(_product_performance(silver, spark, sf_dir), "units_sold", silver)
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,12 +156,14 @@ def bi_churned_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = written_once(silver_transactions(spark, sf_dir))
+    staged = marts.stg_transactions(silver)
     return union_sources(
         [
-            checks.staging_checks(_staged(spark, sf_dir)),
-            checks.mart_checks(_mart(spark, sf_dir)),
-            checks.daily_checks(daily_revenue(spark, sf_dir)),
-            checks.rfm_checks(customer_rfm(spark, sf_dir)),
+            checks.staging_checks(staged),
+            checks.mart_checks(marts.mart_revenue_by_cloud(staged)),
+            checks.daily_checks(_daily_revenue(silver, spark, sf_dir)),
+            checks.rfm_checks(_customer_rfm(silver, spark, sf_dir)),
         ]
     )
 

@@ -34,3 +34,13 @@ def run_time(run_ts: RunTime = None) -> Column:
 def within_days(day: Column | str, days: int, as_of: Column) -> Column:
     """True when ``day`` lies at most ``days`` before ``as_of`` (later days count too)."""
     return F.datediff(as_of, day) <= F.lit(days)
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """Microseconds from ``start`` to ``end``, as a bigint, whatever the session's time zone."""
+    gap = end - start
+
+    def part(name: str, micros: int) -> Column:
+        return (F.extract(F.lit(name), gap) * F.lit(micros)).cast("bigint")
+
+    return part("DAY", 86_400_000_000) + part("HOUR", 3_600_000_000) + part("MINUTE", 60_000_000) + part("SECOND", 1_000_000)

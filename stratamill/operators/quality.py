@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamill.functions.days import RunTime, run_time
+from stratamill.functions.days import RunTime, micros_between, run_time
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,7 @@ def freshness(
 ) -> DataFrame:
     """Age of the newest row against the two limits; a table without rows is an error."""
     newest = df.agg(F.max(loaded_at).alias("newest"))
-    age = F.timestamp_diff("MICROSECOND", F.col("newest"), run_time(as_of))
+    age = micros_between(F.col("newest"), run_time(as_of))
     hour = 3_600_000_000
     return newest.select(
         F.lit(model).alias("model"),

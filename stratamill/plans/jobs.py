@@ -29,6 +29,7 @@ from stratamill.sinks.published import (
 from stratamill.sinks.replicate import replicate_directories
 from stratamill.sources.bronze import append_bronze, read_all_bronze
 from stratamill.sources.files import read_new_files
+from stratamill.sources.serving import as_view, serve
 from stratamill.streaming.ingest import ingest_available
 
 logger = logging.getLogger(__name__)
@@ -167,6 +168,21 @@ def layout_job(spark: SparkSession, lake: Lake) -> dict[str, int]:
     return maintain(spark, [t for t in tasks if live_directories(spark, t.root)])
 
 
+def serve_job(spark: SparkSession, lake: Lake) -> list[str]:
+    """Expose Silver, the staging view, the primary Gold models and the mart to SQL; returns the names served."""
+    primary = next(iter(lake.gold.values()))
+    roots = {name: f"{lake.silver}/{name}" for name in CONTRACTS}
+    roots |= {name: f"{primary}/{name}" for name in GOLD_CLUSTER_BY}
+    roots["mart_revenue_by_cloud"] = f"{lake.marts}/mart_revenue_by_cloud"
+    served = [name for name, root in roots.items() if live_directories(spark, root)]
+    for name in served:
+        serve(spark, roots[name], name)
+    if "transactions" in served:
+        as_view(stg_transactions(spark.table("transactions")), "stg_transactions")
+        served.append("stg_transactions")
+    return served
+
+
 def parity_job(spark: SparkSession, lake: Lake, table: str = "transactions", tolerance: float = 0.05) -> DataFrame:
     """Row counts of the Bronze sources against each other."""
     return parity(

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from stratamill import run
 from stratamill.contracts import TRANSACTIONS
 from stratamill.operators.lineage import stamp
 from stratamill.plans.checks import QualityError
@@ -18,9 +19,11 @@ from stratamill.plans.jobs import (
     mart_job,
     parity_job,
     read_silver,
+    serve_job,
     silver_job,
 )
 from stratamill.sinks.published import current_version, read_published
+from stratamill.sinks.written import written_once
 from stratamill.sources.bronze import append_bronze
 
 TODAY = dt.date(2024, 3, 1)
@@ -94,20 +97,38 @@ def test_two_days(spark, lake):
         daily = read_published(spark, f"{target}/daily_revenue")
         assert daily.agg({"total_transactions": "sum"}).first()[0] == 5
     assert layout_job(spark, lake)["silver-transactions"] == 0
+    assert len(serve_job(spark, lake)) == 8
+    top = spark.sql(
+        "SELECT category, sum(total_revenue) AS revenue FROM daily_revenue"
+        " WHERE txn_date >= date_sub(DATE'2024-03-01', 60) GROUP BY category ORDER BY revenue DESC"
+    )
+    assert [tuple(r) for r in top.collect()] == [("toys", 720.0), ("food", 1.0)]
+    churned = spark.sql("SELECT country_code, count(*) AS n FROM customer_rfm WHERE rfm_segment = 'churned' GROUP BY 1")
+    assert [tuple(r) for r in churned.collect()] == [(None, 1)]
+    assert spark.table("stg_transactions").count() == 4
     assert parity_job(spark, lake).first().status == "fail"
 
 
 def test_rerun_without_news_changes_nothing(spark, lake):
     first_day(spark, lake)
-    daily_run(spark, lake, as_of=TODAY)
-    before = {tuple(r) for r in read_silver(spark, lake, "transactions").drop("_silver_processed_at").collect()}
-    daily_run(spark, lake, as_of=TODAY)
-    assert {tuple(r) for r in read_silver(spark, lake, "transactions").drop("_silver_processed_at").collect()} == before
+    states = []
+    for _ in range(2):
+        for cloud in lake.raw:
+            ingest_source(spark, lake, cloud)
+        silver_job(spark, lake, tables=["transactions", "products"])
+        states.append(
+            [
+                {tuple(r) for r in read_silver(spark, lake, t).drop("_silver_processed_at").collect()}
+                for t in ("transactions", "products")
+            ]
+        )
+    assert states[0] == states[1] and len(states[0][0]) == 4
 
 
 def test_failed_checks_keep_the_old_state(spark, lake):
     first_day(spark, lake)
-    daily_run(spark, lake, as_of=TODAY)
+    ingest_source(spark, lake, "aws")
+    silver_job(spark, lake, tables=["transactions"])
     root = f"{lake.silver}/transactions"
     version = current_version(spark, root)
     deliver(spark, lake, "aws", "2", [("t7", None, "p1", "1", "2024-02-01", "completed")])
@@ -160,3 +181,28 @@ def test_merging_only_the_news_equals_merging_everything(spark, lake, folder):
         )
         assert news == everything
     assert {r.transaction_id: r.amount for r in read_silver(spark, lake, "transactions").collect()} == {"a": 9.0, "b": 2.0, "d": 4.0, "e": 5.0}
+
+
+def test_command_line(spark, lake, folder):
+    first_day(spark, lake)
+    places = Path(folder) / "lake.json"
+    places.write_text(json.dumps(vars(lake)))
+    loaded = Lake(**json.loads(places.read_text()))
+    assert run.run(spark, loaded, run.arguments([str(places), "ingest", "--source", "aws"])) == {
+        "aws": {"customers": True, "transactions": True, "products": True}
+    }
+    run.run(spark, loaded, run.arguments([str(places), "silver", "--since", "2024-01-01"]))
+    assert set(run.run(spark, loaded, run.arguments([str(places), "gold", "--as-of", "2024-03-01"]))) == {
+        "daily_revenue", "customer_rfm", "product_performance"
+    }
+    run.run(spark, loaded, run.arguments([str(places), "mart", "--no-gate"]))
+    assert run.run(spark, loaded, run.arguments([str(places), "parity"]))["status"] == "fail"
+    with pytest.raises(SystemExit):
+        run.arguments([str(places), "unknown"])
+
+
+def test_written_once_keeps_rows_and_types(spark):
+    frame = spark.range(5).selectExpr("id", "timestamp_ntz'2024-01-01 01:00:00' as t", "cast(1 as decimal(18,2)) as d")
+    copy = written_once(frame)
+    assert copy.dtypes == frame.dtypes and copy.exceptAll(frame).count() == 0 and copy.count() == 5
+    assert "written-" in copy.inputFiles()[0]
