@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import logging
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from stratamill.sinks.published import list_files, live_directories, publish, re
 logger = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# Most data clustered by one job: its shuffle then has about 8,000 partitions.
+CLUSTER_BATCH_BYTES = 2 * 1024**4
 
 
 @dataclass(frozen=True)
@@ -61,32 +64,57 @@ def compact_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGE
     return len(ragged)
 
 
-def cluster_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGET_FILE_BYTES) -> int:
+def _batches(sizes: Mapping[str, int], batch_bytes: int) -> Iterator[list[str]]:
+    """Directories in groups of whole partitions, each group about ``batch_bytes`` or one partition."""
+    batch, held = [], 0
+    for _, group in groupby(sorted(sizes, key=_partition), key=_partition):
+        directories = list(group)
+        size = sum(sizes[d] for d in directories)
+        if batch and held + size > batch_bytes:
+            yield batch
+            batch, held = [], 0
+        batch += directories
+        held += size
+    if batch:
+        yield batch
+
+
+def cluster_table(
+    spark: SparkSession,
+    task: LayoutTask,
+    file_bytes: int = TARGET_FILE_BYTES,
+    batch_bytes: int = CLUSTER_BATCH_BYTES,
+) -> int:
     """Rewrite what is not yet clustered by the task's columns; returns the directories rewritten.
 
     A clustered snapshot carries its columns in its name, so a partition that
     no upsert has touched since is left alone, and the daily cost follows the
-    changed partitions instead of the table. Rows with equal values are told
-    apart by their place in their file: a hot value, even one of identical
-    rows, is spread over several output files.
+    changed partitions instead of the table. Partitions are rewritten and
+    published in batches, which keeps one shuffle's size in bounds and what is
+    done when a later batch fails. Rows with equal values are told apart by
+    their place in their file: a hot value, even one of identical rows, is
+    spread over several output files.
     """
     live = live_directories(spark, task.root)
-    mark = "by-" + "-".join(task.cluster_by)
-    loose = _unclustered(live, mark)
     if not live:
         raise FileNotFoundError(f"nothing published at {task.root}")
-    if loose:
-        rows = read_directories(spark, task.root, loose, like=live)
-        total = list_files(spark, task.root, loose).agg(F.sum("length")).first()[0] or 0
+    mark = "by-" + "-".join(task.cluster_by)
+    loose = _unclustered(live, mark)
+    if not loose:
+        return 0
+    stored = list_files(spark, task.root, loose).groupBy("directory").agg(F.sum("length").alias("size"))
+    sizes = {d: 0 for d in loose} | {row.directory: row.size for row in stored.collect()}
+    for batch in _batches(sizes, batch_bytes):
         placed = cluster(
-            rows,
+            read_directories(spark, task.root, batch, like=live),
             task.cluster_by,
-            files=max(1, -(-total // file_bytes)),
+            files=max(1, -(-sum(sizes[d] for d in batch) // file_bytes)),
             partition_by=task.partition_by,
             spread=F.xxhash64("_metadata.file_path", "_metadata.row_index"),
         )
         written = stage(placed, task.root, task.partition_by, rebalance=False, mark=mark)
-        publish(spark, task.root, sorted({*live, *written} - set(loose)))
+        live = sorted({*live, *written} - set(batch))
+        publish(spark, task.root, live)
     return len(loose)
 
 

@@ -1,7 +1,7 @@
-"""Run one job from the command line, for ``spark-submit``.
+"""Run one job from the command line.
 
-``run.py lake.json daily --since 2024-03-01``, where ``lake.json`` holds the
-fields of :class:`stratamill.plans.jobs.Lake`.
+``python -m stratamill.run lake.json daily --since 2024-03-01``, where
+``lake.json`` holds the fields of :class:`stratamill.plans.jobs.Lake`.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from stratamill.plans import jobs
 from stratamill.session import build_session
 
-JOBS = ("ingest", "silver", "gold", "mart", "layout", "parity", "daily")
+JOBS = ("ingest", "silver", "gold", "mart", "layout", "quality", "parity", "daily")
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -24,7 +24,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("lake", help="JSON file with the locations")
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--source", help="ingest: one source label instead of all")
-    parser.add_argument("--since", type=dt.date.fromisoformat, help="silver, daily: first ingest day to merge")
+    parser.add_argument("--since", type=dt.date.fromisoformat, help="silver, parity, daily: first ingest day to take")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="gold, daily: the reporting day")
     parser.add_argument("--no-gate", action="store_true", help="publish without checks")
     return parser.parse_args(argv)
@@ -45,8 +45,10 @@ def run(spark: SparkSession, lake: jobs.Lake, args: argparse.Namespace):
             return jobs.mart_job(spark, lake, gate=gate)
         case "layout":
             return jobs.layout_job(spark, lake)
+        case "quality":
+            return [row.asDict() for row in jobs.quality_job(spark, lake).collect()]
         case "parity":
-            return jobs.parity_job(spark, lake).first().asDict()
+            return jobs.parity_job(spark, lake, since=args.since).first().asDict()
         case "daily":
             return jobs.daily_run(spark, lake, since=args.since, as_of=args.as_of, gate=gate)
 

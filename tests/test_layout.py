@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from stratamill.functions.zcurve import bucket_of, interleave, quantile_bounds
 from stratamill.operators.layout import cluster, compact, target_file_bytes
-from stratamill.plans.maintenance import LayoutTask, cluster_table, compact_table, maintain
-from stratamill.sinks.published import list_files, live_directories, publish, read_published, stage, upsert_published
+from stratamill.plans.maintenance import LayoutTask, _batches, cluster_table, compact_table, maintain
+from stratamill.sinks.published import current_version, list_files, live_directories, publish, read_published, stage, upsert_published
 
 
 def rows(df):
@@ -134,3 +134,15 @@ def test_only_changed_partitions_are_clustered_again(spark, folder):
     table = {r.k: r.v for r in read_published(spark, folder).collect()}
     assert len(table) == 91 and table["k0"] == -1 and table["new"] == 7
     assert cluster_table(spark, LayoutTask("t", folder, ("v",), ("p",))) == 3
+
+
+def test_clustering_in_batches(spark, folder):
+    frame = spark.createDataFrame([(f"k{i}", i, i % 4) for i in range(400)], "k string, v int, p int")
+    upsert_published(frame, folder, "k", ("p",))
+    before = current_version(spark, folder)
+    assert cluster_table(spark, LayoutTask("t", folder, ("k", "v"), ("p",)), batch_bytes=1) == 4
+    assert current_version(spark, folder) == before + 4
+    assert rows(read_published(spark, folder)) == rows(frame)
+    assert [sorted(b) for b in _batches({"snapshot=a/p=1": 5, "snapshot=b/p=1": 5, "snapshot=a/p=2": 3, "snapshot=a/p=3": 4}, 8)] == [
+        ["snapshot=a/p=1", "snapshot=b/p=1"], ["snapshot=a/p=2", "snapshot=a/p=3"]
+    ]
