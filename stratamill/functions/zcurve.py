@@ -34,7 +34,11 @@ def bucket_of(column: Column, bounds: Sequence[Any]) -> Column:
 
 
 def interleave(buckets: Sequence[Column], bits: int) -> Column:
-    """Bit ``b`` of bucket ``i`` lands at position ``b * len(buckets) + i``."""
+    """Bit ``b`` of bucket ``i`` lands at position ``b * len(buckets) + i``.
+
+    A bucket is used once per bit, so Spark computes it once per row, in a
+    method of its own that stays small enough to be compiled.
+    """
     if bits * len(buckets) > 63:
         raise ValueError("too many bits for one bigint z-value")
     z = F.lit(0).cast("bigint")
