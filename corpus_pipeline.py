@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratamill.llm.quality import quality
 from stratamill.llm.tables import table
@@ -10,8 +11,8 @@ from stratamill.llm.tables import table
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality(docs, keep=tuple(docs.columns))
-    return judged.where("kept").select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    return quality(rows, keep=("_row",)).where("kept").select("_row.*")
 
 
 STAGES = [("quality rules", keep_good)]

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratamill.llm.mixing import mix
+from stratamill.llm.packing import pack
 from stratamill.llm.quality import quality
+from stratamill.llm.reputation import url_filter
 from stratamill.llm.tables import table
 
 
@@ -14,4 +17,22 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), keep=("doc_id",))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality_rules": op1_quality_rules}
+# The hot source counts double; named and other sources weigh the same.
+SOURCE_WEIGHTS = {"src0": 2.0} | {f"src{i}": 1.0 for i in range(1, 20)}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    query.__name__: query for query in (op1_quality_rules, op2_mixing, op9_packing, op10_url_filters)
+}
