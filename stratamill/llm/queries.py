@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratamill.llm.minhash import near_duplicates
 from stratamill.llm.mixing import mix
 from stratamill.llm.packing import pack
 from stratamill.llm.quality import quality
@@ -25,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -34,5 +40,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op2_mixing, op9_packing, op10_url_filters)
+    query.__name__: query for query in (op1_quality_rules, op2_mixing, op6_minhash_near_dedup, op9_packing, op10_url_filters)
 }
