@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratamill.llm.language import identify
+from stratamill.llm.licenses import license_scan
 from stratamill.llm.minhash import near_duplicates
 from stratamill.llm.mixing import mix
 from stratamill.llm.packing import pack
+from stratamill.llm.parameters import SOURCE_WEIGHTS
 from stratamill.llm.quality import quality
 from stratamill.llm.reputation import url_filter
+from stratamill.llm.rpforest import near_vectors
+from stratamill.llm.secret_scan import secret_report
 from stratamill.llm.tables import table
 
 
@@ -18,19 +23,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), keep=("doc_id",))
 
 
-# The hot source counts double; named and other sources weigh the same.
-SOURCE_WEIGHTS = {"src0": 2.0} | {f"src{i}": 1.0 for i in range(1, 20)}
-
-
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.98)
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -40,5 +57,16 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_quality_rules, op2_mixing, op6_minhash_near_dedup, op9_packing, op10_url_filters)
+    query.__name__: query
+    for query in (
+        op1_quality_rules,
+        op2_mixing,
+        op3_secret_scans,
+        op4_language_id,
+        op6_minhash_near_dedup,
+        op7_embedding_near_dedup,
+        op8_license_scans,
+        op9_packing,
+        op10_url_filters,
+    )
 }

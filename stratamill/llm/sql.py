@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
+from stratamill.llm.licenses import CONTAINMENT, NOT_WORD, PHRASES, TEMPLATES, template_words
+from stratamill.llm.parameters import SOURCE_WEIGHTS
 from stratamill.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
+from stratamill.llm.reputation import (
+    BLOCK_ABOVE,
+    BOUND_SIGMAS,
+    DOUBLE_SUFFIXES,
+    MAX_STRENGTH,
+    MIN_STRENGTH,
+    URL_RULES,
+)
 
 BREAK = r"[\x20\x09-\x0D]"
 
@@ -50,4 +60,150 @@ WITH texts AS (
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM judged
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PLACES = " UNION ALL ".join(
+    f"SELECT rid, '{label}' AS label, i - 1 AS pos FROM starts WHERE "
+    + " AND ".join(f"words[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+    for phrase, label in PHRASES.items()
+)
+_TEMPLATES = ", ".join(f"('{label}', [{_quoted(sorted(template_words(notice)))}])" for label, notice in TEMPLATES)
+
+LICENSES = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text
+  FROM documents
+), split AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '{NOT_WORD}'), lambda w: w <> '') AS words
+  FROM texts
+), starts AS (
+  SELECT rid, words, unnest(range(1, len(words) + 1)) AS i FROM split
+), places AS (
+  {_PLACES}
+), based AS (
+  SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base
+  FROM places GROUP BY rid
+), blocks AS (
+  SELECT rid, list_distinct(regexp_split_to_array(line, '{NOT_WORD}')) AS words
+  FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM texts)
+), templates(label, words) AS (
+  VALUES {_TEMPLATES}
+), matched AS (
+  SELECT rid, t.label, len(list_intersect(b.words, t.words))::DOUBLE / len(t.words)::DOUBLE AS score
+  FROM blocks b, templates t WHERE len(list_intersect(b.words, t.words)) >= ceil(len(t.words) * {CONTAINMENT} - 1e-9)
+), found AS (
+  SELECT rid, max(score) AS score, list(DISTINCT label) AS labels FROM matched GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(labels, [])))), ',') AS labels,
+       greatest(coalesce(score, 0), CASE WHEN n_base > 0 THEN 1 ELSE 0 END)::DOUBLE AS score
+FROM split LEFT JOIN based USING (rid) LEFT JOIN found USING (rid)
+"""
+
+_WEIGHTS = ", ".join([*[f"('{k}', {w}::DOUBLE)" for k, w in SOURCE_WEIGHTS.items()], "(NULL, 1.0::DOUBLE)"])
+
+
+def _uniform(*parts: str) -> str:
+    text = "concat_ws(':', " + ", ".join(f"coalesce(({p})::VARCHAR, 'null')" for p in parts) + ")"
+    return f"((('0x' || substring(md5({text}), 1, 13))::BIGINT::DOUBLE + 0.5) / {16**13}::DOUBLE)"
+
+
+MIXING = f"""
+WITH weights(source, weight) AS (
+  VALUES {_WEIGHTS}
+), rows AS (
+  SELECT *, CASE WHEN source IN ({_quoted(SOURCE_WEIGHTS)}) THEN source END AS grp, {_uniform("0", "doc_id")} AS u
+  FROM documents
+), sizes AS (
+  SELECT grp, sum(coalesce(length(text), 0))::DOUBLE AS size FROM rows GROUP BY grp
+), rates AS (
+  SELECT grp, coalesce(weight / sum(weight) OVER () * sum(size) OVER () / nullif(size, 0), 1.0) AS rate
+  FROM sizes JOIN weights ON grp IS NOT DISTINCT FROM source
+), points AS (
+  SELECT grp, rate, unnest(range(0, ceil(rate + 9 * sqrt(rate) + 40)::BIGINT + 1)) AS k FROM rates
+), masses AS (
+  SELECT grp, k, CASE WHEN rate = 0 THEN CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END
+         ELSE exp(k * ln(rate) - rate - sum(CASE WHEN k > 0 THEN ln(k) ELSE 0 END) OVER w) END AS mass
+  FROM points WINDOW w AS (PARTITION BY grp ORDER BY k)
+), steps AS (
+  SELECT grp, list(step) AS steps FROM (
+    SELECT grp, sum(mass) OVER (PARTITION BY grp ORDER BY k) AS step FROM masses
+  ) GROUP BY grp
+), drawn AS (
+  SELECT rows.*, unnest(range(0, len(list_filter(steps, lambda s: s < u)))) AS copy
+  FROM rows JOIN steps ON rows.grp IS NOT DISTINCT FROM steps.grp
+)
+SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy, {_uniform("0", "doc_id", "copy", "'place'")} AS place
+FROM drawn
+"""
+
+
+def _rules(column: str) -> str:
+    when = ""
+    for rule in sorted(URL_RULES, key=lambda r: (-len(r.name), r.name)):
+        host = f"(host = '{rule.host}' OR ends_with(host, '.{rule.host}'))"
+        when += f" WHEN {host} AND starts_with(path, '{rule.path}') THEN '{getattr(rule, column)}'"
+    return f"CASE{when} END"
+
+
+def _shrink(name: str, children: str, parents: str, parent: str) -> str:
+    """SQL of a level: its rates shrunk to the parent's mean, as ``name``."""
+    return f"""{name}_placed AS (
+  SELECT c.*, p.shrunk AS mean FROM {children} c JOIN {parents} p USING ({parent})
+), {name}_fit AS (
+  SELECT {parent}, (sum(n * (bad / n - mean) * (bad / n - mean)) / nullif(max(mean * (1 - mean)), 0) - count(*))
+         / nullif(sum(n) - count(*), 0) AS r
+  FROM {name}_placed WHERE n > 0 GROUP BY {parent}
+), {name}_strong AS (
+  SELECT p.*, CASE WHEN r > 0 THEN least({MAX_STRENGTH}, greatest({MIN_STRENGTH}, 1 / r - 1)) ELSE {MAX_STRENGTH} END
+         AS strength
+  FROM {name}_placed p LEFT JOIN {name}_fit USING ({parent})
+), {name} AS (
+  SELECT *, (bad + strength * mean) / (n + strength) AS shrunk FROM {name}_strong
+)"""
+
+
+_DOUBLES = _quoted(DOUBLE_SUFFIXES)
+
+REPUTATION = rf"""
+WITH urls AS (
+  SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM urls
+), outcomes AS (
+  SELECT doc_id AS page_id, max((coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1)::INT) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id
+), counted AS (
+  SELECT host, coalesce(sum(bad), 0)::DOUBLE AS bad, count(bad)::DOUBLE AS n, string_split(host, '.') AS l
+  FROM parts LEFT JOIN outcomes USING (page_id) GROUP BY host
+), depths AS (
+  SELECT *, CASE WHEN array_to_string(l[-2:], '.') IN ({_DOUBLES}) THEN 2 ELSE 1 END AS d FROM counted
+), hosts AS (
+  SELECT host, bad, n, array_to_string(l[-(d + 1):], '.') AS domain, array_to_string(l[-d:], '.') AS suffix, '' AS root
+  FROM depths
+), domains AS (
+  SELECT domain, suffix, root, sum(bad) AS bad, sum(n) AS n FROM hosts GROUP BY ALL
+), suffixes AS (
+  SELECT suffix, root, sum(bad) AS bad, sum(n) AS n FROM domains GROUP BY ALL
+), roots AS (
+  SELECT root, sum(bad) / nullif(sum(n), 0) AS shrunk FROM suffixes GROUP BY root
+), {_shrink("s", "suffixes", "roots", "root")}, {_shrink("d", "domains", "s", "suffix")},
+{_shrink("h", "hosts", "d", "domain")}, judged AS (
+  SELECT host, n::BIGINT AS n_labelled, shrunk AS posterior_mean,
+         shrunk - {BOUND_SIGMAS} * sqrt(greatest(shrunk * (1 - shrunk), 0) / (n + strength + 1)) AS lower_bound
+  FROM h
+)
+SELECT page_id, host, path, {_rules("name")} AS rule,
+       coalesce({_rules("verdict")}, CASE WHEN lower_bound > {BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict,
+       n_labelled, round(posterior_mean, 6) AS posterior_mean, round(lower_bound, 6) AS lower_bound
+FROM parts LEFT JOIN judged USING (host)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": QUALITY,
+    "op2_mixing": MIXING,
+    "op8_license_scans": LICENSES,
+    "op10_url_filters": REPUTATION,
+}
