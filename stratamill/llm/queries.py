@@ -11,6 +11,7 @@ from stratamill.llm.licenses import license_scan
 from stratamill.llm.minhash import near_duplicates
 from stratamill.llm.mixing import mix
 from stratamill.llm.packing import pack
+from stratamill.llm.pages import page_texts
 from stratamill.llm.parameters import SOURCE_WEIGHTS
 from stratamill.llm.quality import quality
 from stratamill.llm.reputation import url_filter
@@ -35,6 +36,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_mixing,
         op3_secret_scans,
         op4_language_id,
+        op5_html_extraction,
         op6_minhash_near_dedup,
         op7_embedding_near_dedup,
         op8_license_scans,
