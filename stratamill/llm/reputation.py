@@ -103,8 +103,10 @@ def _with_strength(children: DataFrame, parent: str) -> DataFrame:
         )
     )
     r = F.try_divide(F.try_divide(F.col("spread"), F.col("noise")) - F.col("k"), F.col("pages") - F.col("k"))
-    fitted = F.least(F.lit(MAX_STRENGTH), F.greatest(F.lit(MIN_STRENGTH), F.try_divide(F.lit(1.0), r) - 1))
-    return sums.select(parent, F.when(r > 0, fitted).otherwise(F.lit(MAX_STRENGTH)).alias("strength"))
+    # No prior is surer than the pages behind it.
+    most = F.greatest(F.lit(MIN_STRENGTH), F.least(F.lit(MAX_STRENGTH), F.col("pages").cast("double")))
+    fitted = F.least(most, F.greatest(F.lit(MIN_STRENGTH), F.try_divide(F.lit(1.0), r) - 1))
+    return sums.select(parent, F.when(r > 0, fitted).otherwise(most).alias("strength"))
 
 
 def _shrunk(children: DataFrame, parent_means: DataFrame, parent: str) -> DataFrame:
@@ -112,7 +114,7 @@ def _shrunk(children: DataFrame, parent_means: DataFrame, parent: str) -> DataFr
     placed = children.join(parent_means.select(parent, F.col("shrunk").alias("mean")), parent)
     strengths = _with_strength(placed, parent)
     return placed.join(strengths, parent, "left").withColumn(
-        "strength", F.coalesce(F.col("strength"), F.lit(MAX_STRENGTH))
+        "strength", F.coalesce(F.col("strength"), F.lit(MIN_STRENGTH))
     )
 
 

@@ -152,11 +152,11 @@ def _shrink(name: str, children: str, parents: str, parent: str) -> str:
   SELECT c.*, p.shrunk AS mean FROM {children} c JOIN {parents} p USING ({parent})
 ), {name}_fit AS (
   SELECT {parent}, (sum(n * (bad / n - mean) * (bad / n - mean)) / nullif(max(mean * (1 - mean)), 0) - count(*))
-         / nullif(sum(n) - count(*), 0) AS r
+         / nullif(sum(n) - count(*), 0) AS r, greatest({MIN_STRENGTH}, least({MAX_STRENGTH}, sum(n))) AS most
   FROM {name}_placed WHERE n > 0 GROUP BY {parent}
 ), {name}_strong AS (
-  SELECT p.*, CASE WHEN r > 0 THEN least({MAX_STRENGTH}, greatest({MIN_STRENGTH}, 1 / r - 1)) ELSE {MAX_STRENGTH} END
-         AS strength
+  SELECT p.*, CASE WHEN r > 0 THEN least(most, greatest({MIN_STRENGTH}, 1 / r - 1))
+         ELSE coalesce(most, {MIN_STRENGTH}) END AS strength
   FROM {name}_placed p LEFT JOIN {name}_fit USING ({parent})
 ), {name} AS (
   SELECT *, (bad + strength * mean) / (n + strength) AS shrunk FROM {name}_strong
