@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from stratamill.sinks.written import written_once
 
 
-def _digest(edges: DataFrame) -> tuple[int, str]:
-    """Equal for equal edge sets, whatever their order."""
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], str(row["h"])
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v only, which is no u itself."""
+    ends = edges.groupBy("u").agg(F.count("*").alias("n"), F.lit(0).alias("as_v"))
+    tops = edges.select(F.col("v").alias("u")).distinct().select("u", F.lit(0).alias("n"), F.lit(1).alias("as_v"))
+    both = ends.unionByName(tops).groupBy("u").agg(F.sum("n").alias("n"), F.max("as_v").alias("as_v"))
+    return both.where("n > 1 or (n > 0 and as_v > 0)").isEmpty()
 
 
 def _with_smallest(edges: DataFrame) -> DataFrame:
@@ -27,21 +29,16 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.where("u is not null and v is not null and u <> v")
     edges = written_once(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = _digest(edges)
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: every larger neighbour of u hangs on the smallest of u and its neighbours.
         large = _with_smallest(both).where("v > u")
-        large = large.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = large.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         # Small star: u and its smaller neighbours hang on the smallest of them.
         stars = _with_smallest(large)
         small = stars.select("u", F.col("m").alias("v")).unionByName(
             stars.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         edges = written_once(small.distinct())
-        now = _digest(edges)
-        if now == seen:
-            break
-        seen = now
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return leaves.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

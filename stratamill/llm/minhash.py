@@ -6,16 +6,18 @@
    are hashed.
 2. *Classes*: texts of the same words are one class, represented by its smallest doc_id.
    Copies are never paired.
-3. *Candidates*: classes that share a band are a bucket. In the first round each class
-   is paired with one partner only, the smallest class of any of its buckets whose size
-   allows the similarity. Links found join classes into components. In later rounds,
-   buckets that still hold several components pair a block of their classes with all
-   classes of other components behind them, until every bucket is done. So a large group
-   of near copies costs a pair per member, and nothing is capped.
+3. *Candidates*: classes that share a band are a bucket. First, each class is paired with
+   one other only: of its buckets' smallest classes the one it shares most bands with.
+   Second, in buckets whose classes do not hang together yet, those outside of the
+   largest component are paired with one class drawn from it. Third, classes that still
+   share buckets with other components are joined by an exact prefix filter. So a group
+   of near copies costs a few pairs per member, texts that merely share a long passage
+   are not paired at all, and nothing is capped.
 4. *Confirmation*: both texts of a pair are compared as full sets of word tuples.
 5. Components of the links; the smallest doc_id of each is kept.
 
-With 32 bands of 5 values a pair at the limit of 0.8 is missed with a chance of 3e-6.
+With 40 bands of 5 values, of which two must agree, a pair at the limit of 0.8 is missed
+with a chance of 3e-6.
 What is shuffled are sketches, band rows of three numbers, and the texts of candidates.
 
 Defined cases: null or empty texts, or ones without words, have no shingles and link
@@ -35,17 +37,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stratamill.llm.components import components
 from stratamill.llm.tokens import chunks
 from stratamill.sinks.written import written_once
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 40, 5
+# Open buckets that a class must be in to take part in the last step.
+LEAST_SHARED = 2
 SEED = 11
 RANGE_BITS = 20
-# Classes of a bucket that one later round pairs with those behind them.
-LEADERS = 64
 # Up to so many ids are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -151,14 +152,20 @@ def _size_fits(a: str, b: str, percent: int):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full shingle sets are similar enough."""
-    needed = written_once(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct())
-    few = needed.count() <= BROADCAST_IDS
+def _texts_of(ids: DataFrame, most: int, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``_id``, ``_text``, ``_mark`` of the rows with one of the ids, of which there are ``most`` at most.
+
+    Repeated rows are folded, within the partitions by id that joins behind it read.
+    """
     texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_mark"))
-    texts = texts.join(F.broadcast(needed) if few else needed, "_id", "left_semi")
-    # Repeated rows fold within the partitions that both joins below read.
-    texts = texts.repartition("_id").dropDuplicates(["_id", "_mark"])
+    texts = texts.join(F.broadcast(ids) if most <= BROADCAST_IDS else ids, "_id", "left_semi")
+    return texts.repartition("_id").dropDuplicates(["_id", "_mark"])
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b), a written table, whose full shingle sets are similar enough, as (u, v)."""
+    needed = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
+    texts = _texts_of(needed, 2 * pairs.count(), docs, key, text)
     left = texts.select(F.col("_id").alias("a"), F.col("_text").alias("a_text"))
     right = texts.select(F.col("_id").alias("b"), F.col("_text").alias("b_text"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text")
@@ -207,55 +214,102 @@ def near_duplicates(
     usable = sketch.where("doc is not null and print is not null")
     first = F.min_by(F.struct("n_shingles", "bands"), "doc").alias("s")
     classes = written_once(usable.groupBy("print").agg(F.min("doc").alias("node"), first))
-    bucket_rows = classes.select("node", F.col("s.n_shingles").alias("n"), F.explode("s.bands").alias("band"))
-    in_bucket = Window.partitionBy("band")
-    shared = bucket_rows.withColumn("members", F.count("*").over(in_bucket)).where("members > 1").drop("members")
-    buckets = written_once(shared)
+    buckets = written_once(_buckets(classes, percent))
 
-    links = _confirmed(_first_pairs(buckets, percent), df, key, text, shingle_words, percent)
-    links = written_once(links)
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return written_once(_confirmed(written_once(pairs), df, key, text, shingle_words, percent))
+
+    links = confirmed(_led_pairs(buckets))
+    hung = _open_rows(buckets, links.select(F.col("v").alias("node"), F.col("u").alias("root")))
+    links = links.unionByName(confirmed(_drawn_pairs(hung, percent)))
     roots = written_once(components(links))
-    after = 0
-    while True:
-        open_rows = written_once(_open_rows(buckets, roots))
-        pairs = written_once(_later_pairs(open_rows, after, percent))
-        if not pairs.isEmpty():
-            links = links.unionByName(written_once(_confirmed(pairs, df, key, text, shingle_words, percent)))
-            roots = written_once(components(links))
-        after += LEADERS
-        if open_rows.where(F.col("nth") > after).isEmpty():
-            break
+    apart = written_once(_open_classes(_open_rows(buckets, roots)))
+    more = confirmed(_prefix_pairs(apart, df, key, text, shingle_words, percent))
+    if not more.isEmpty():
+        roots = written_once(components(links.unionByName(more)))
     return _labelled(sketch, classes, roots)
 
 
-def _first_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """For each class the smallest class of any of its buckets, if their sizes allow the similarity."""
-    smallest = buckets.groupBy("band").agg(F.min(F.struct("node", "n")).alias("least"))
-    led = buckets.join(smallest, "band").select(
-        "node", "n", F.col("least.node").alias("leader"), F.col("least.n").alias("n_leader")
+def _buckets(classes: DataFrame, percent: int) -> DataFrame:
+    """A row per class and band that others have too: band, node, n, leader (the band's smallest class)
+    and whether the leader is another class of a size that allows the similarity."""
+    rows = classes.select("node", F.col("s.n_shingles").alias("n"), F.explode("s.bands").alias("band"))
+    shared = rows.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("least"))
+    led = rows.join(shared.where("members > 1"), "band").select(
+        "band", "node", "n", F.col("least.node").alias("leader"), F.col("least.n").alias("n_leader")
     )
-    fitting = led.where((F.col("leader") < F.col("node")) & _size_fits("n", "n_leader", percent))
-    return written_once(fitting.groupBy(F.col("node").alias("b")).agg(F.min("leader").alias("a")).select("a", "b"))
+    fits = (F.col("leader") < F.col("node")) & _size_fits("n", "n_leader", percent)
+    return led.select("band", "node", "n", "leader", fits.alias("fits"))
+
+
+def _led_pairs(buckets: DataFrame) -> DataFrame:
+    """Each class with the leader that it shares most bands with."""
+    led = buckets.where("fits").groupBy("node", "leader").agg(F.count("*").alias("shared"))
+    best = led.groupBy("node").agg(F.min(F.struct(-F.col("shared"), F.col("leader").alias("leader"))).alias("best"))
+    return best.select(F.col("best.leader").alias("a"), F.col("node").alias("b"))
 
 
 def _open_rows(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several components, numbered in their bucket by ``nth``."""
-    placed = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    several = placed.join(ends.where("lo <> hi").select("band"), "band", "left_semi")
-    return several.withColumn("nth", F.row_number().over(Window.partitionBy("band").orderBy("node")))
-
-
-def _later_pairs(open_rows: DataFrame, after: int, percent: int) -> DataFrame:
-    """The ``LEADERS`` classes of each bucket behind number ``after``, with those of other components behind them."""
-    names = open_rows.columns
-    x = open_rows.where((F.col("nth") > after) & (F.col("nth") <= after + LEADERS))
-    x = x.select("band", *[F.col(c).alias(f"{c}_a") for c in names if c != "band"])
-    y = open_rows.where(F.col("nth") > after)
-    y = y.select("band", *[F.col(c).alias(f"{c}_b") for c in names if c != "band"])
-    pairs = x.join(y, "band").where("nth_a < nth_b and root_a <> root_b")
-    pairs = pairs.where(_size_fits("n_a", "n_b", percent))
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    """Rows of the buckets that hold several components: band, node, n, root, most, drawn, n_drawn.
+
+    ``most`` is the root with most classes in the bucket and ``drawn`` one of them, by a
+    hash.
+    """
+    placed = buckets.select("band", "node", "n").join(roots, "node", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "node"))
+    drawn = F.min(F.struct(F.xxhash64("band", "node").alias("at"), "node", "n")).alias("drawn")
+    inside = placed.groupBy("band", "root").agg(F.count("*").alias("size"), drawn)
+    largest = F.max(F.struct("size", "root", "drawn")).alias("m")
+    several = inside.groupBy("band").agg(F.count("*").alias("roots"), largest).where("roots > 1")
+    drawn = [F.col("m.root").alias("most"), F.col("m.drawn.node").alias("drawn"), F.col("m.drawn.n").alias("n_drawn")]
+    return placed.join(several.select("band", *drawn), "band")
+
+
+def _drawn_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Each class outside of a bucket's largest component with the one drawn from that."""
+    pairs = rows.where((F.col("root") != F.col("most")) & _size_fits("n", "n_drawn", percent))
+    return pairs.select(F.least("drawn", "node").alias("a"), F.greatest("drawn", "node").alias("b")).distinct()
+
+
+def _open_classes(rows: DataFrame) -> DataFrame:
+    """``_id`` and ``root`` of the classes that stand in ``LEAST_SHARED`` open buckets or more."""
+    found = rows.groupBy("node", "root").agg(F.count("*").alias("buckets"))
+    return found.where(F.col("buckets") >= LEAST_SHARED).select(F.col("node").alias("_id"), "root")
+
+
+def _prefix_pairs(
+    apart: DataFrame, docs: DataFrame, key: str, text: str, size: int, percent: int
+) -> DataFrame:
+    """All pairs of the classes ``apart``, of different components, that may be similar enough.
+
+    An exact filter: with shingles ordered by their frequency, rarest first, similar sets
+    share one of their first ``n - ceil(n * percent / 100) + 1``, and at the first common
+    one enough are left on either side. A passage that thousands of texts share is
+    behind the words that tell them apart, and brings no two of them together.
+    """
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, 2):
+            words = [words_of(value or "") for value in batch.column(2).to_pylist()]
+            sets = [shingle_hashes(w, size).view(np.int64) if w else [] for w in words]
+            columns = [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["_id", "_mark", "_hashes"])
+
+    texts = _texts_of(apart.select("_id"), apart.count(), docs, key, text)
+    schema = f"_id {dict(apart.dtypes)['_id']}, _mark long, _hashes array<long>"
+    sets = written_once(texts.select("_id", "_mark", "_text").mapInArrow(hashes, schema))
+    tokens = sets.select("_id", "_mark", F.explode("_hashes").alias("h"))
+    counted = tokens.groupBy("h").agg(F.count("*").alias("df"))
+    ordered = tokens.join(counted, "h").groupBy("_id", "_mark").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("o"))
+    ordered = ordered.join(apart, "_id").withColumn("n", F.size("o"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    prefix = ordered.select("_id", "root", "n", F.posexplode(F.transform(F.slice("o", 1, first), lambda t: t["h"])))
+    prefix = written_once(prefix.withColumnRenamed("col", "h"))
+    x, y = (prefix.select("h", *[F.col(c).alias(f"{c}_{side}") for c in ("_id", "root", "n", "pos")]) for side in "xy")
+    common = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    enough = common * (100 + percent) >= (F.col("n_x") + F.col("n_y")) * percent
+    pairs = x.join(y, "h").where((F.col("_id_x") < F.col("_id_y")) & (F.col("root_x") != F.col("root_y")) & enough)
+    return pairs.select(F.col("_id_x").alias("a"), F.col("_id_y").alias("b")).distinct()
 
 
 def _labelled(sketch: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:

@@ -47,14 +47,18 @@ def corpus():
             rows.append((family * 100 + member, " ".join(words)))
             if rng.random() < 0.3:
                 rows.append((family * 100 + member + 50, "  ".join(w.upper() for w in words)))
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    for i in range(40):
+        own = [f"own{i}-{k}" for k in range(rng.choice([2, 6, 9, 20, 60]))]
+        rows.append((5000 + i, " ".join([*own, *passage] if i % 2 else [*passage, *own])))
     rng.shuffle(rows)
     return rows
 
 
 @pytest.mark.parametrize("size", [2, 5])
-@pytest.mark.parametrize("block", [2, 64])
-def test_equals_brute_force(spark, monkeypatch, size, block):
-    monkeypatch.setattr(minhash, "BLOCK", block)
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_equals_brute_force(spark, monkeypatch, size, few):
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", few)
     rows = [(k, t) for k, t, *_ in ODD_TEXTS] + [(k + 1000, t) for k, t in corpus()]
     want = brute(rows, size, 80)
     found = near_duplicates(documents(spark, rows), size, 80).collect()
