@@ -79,6 +79,15 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and lineage of the transactions: the line items alone have them, each with its order."""
+    return table(spark, sf_dir, "lineitem").select(
+        _unless(_every("l_orderkey", 101), F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))).alias("transaction_id"),
+        _cloud(F.col("l_suppkey")).alias("_cloud"),
+        F.col("l_shipdate").alias("_ingested_at"),
+    )
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as delivered."""
     nations = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")

@@ -40,6 +40,16 @@ NEWEST_FIRST = (
 )
 
 
+# All other columns in turn, greatest first.
+EVERY_COLUMN = ", ".join(
+    f"{name} DESC NULLS LAST"
+    for name in (
+        "customer_id", "product_id", "amount", "txn_date", "status", "feed_part", "feed_supplier", "_source", "_layer",
+        "_cloud", "_date_part",
+    )
+)
+
+
 def _silver_transactions(name: str, condition: str = "TRUE") -> str:
     return f"""
 {name} AS (
@@ -245,6 +255,8 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 UNION ALL
 SELECT CASE WHEN p_partkey % 67 <> 0 THEN CAST(p_partkey AS varchar) END, concat(' ', p_type) FROM part""",
     "dedup_latest": f"WITH {RAW_TRANSACTIONS} SELECT * FROM raw_transactions QUALIFY {NEWEST_FIRST}",
+    "dedup_latest_default": f"""WITH {RAW_TRANSACTIONS} SELECT * FROM raw_transactions
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY _ingested_at DESC NULLS LAST, {EVERY_COLUMN}) = 1""",
     "silver_transactions": f"WITH {SILVER_TRANSACTIONS} SELECT * FROM silver_transactions",
     "silver_customers": f"WITH {SILVER_CUSTOMERS} SELECT * FROM silver_customers",
     "silver_products": f"WITH {SILVER_PRODUCTS} SELECT * FROM silver_products",
@@ -259,8 +271,10 @@ SELECT transaction_id, customer_id, product_id, amount, txn_date, status, countr
     "daily_revenue": f"WITH {DAILY} SELECT * FROM daily",
     "customer_rfm": f"WITH {RFM} SELECT * FROM rfm",
     "product_performance": f"WITH {PERFORMANCE} SELECT * FROM performance",
-    "units_conservation": f"""WITH {SILVER_TRANSACTIONS}
-SELECT count(*) AS total_units, count(*) AS n_rows, 'pass' AS status FROM silver_transactions""",
+    "units_conservation": f"""WITH {PERFORMANCE}
+SELECT CAST(total_units AS bigint) AS total_units, n_rows,
+       CASE WHEN total_units = n_rows THEN 'pass' ELSE 'fail' END AS status
+FROM (SELECT sum(units_sold) AS total_units FROM performance), (SELECT count(*) AS n_rows FROM silver_transactions)""",
     "stg_transactions": f"WITH {STAGED} SELECT * REPLACE (CAST(amount AS double) AS amount) FROM staged",
     "mart_revenue_by_cloud": f"""WITH {STAGED},{MART_CTE}
 SELECT * FROM mart ORDER BY txn_year DESC, txn_month DESC, source_cloud""",

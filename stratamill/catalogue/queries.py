@@ -49,7 +49,7 @@ def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clouds_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_values(feeds.raw_transactions(spark, sf_dir), "_cloud")
+    return distinct_values(feeds.raw_lineage(spark, sf_dir), "_cloud")
 
 
 def ids_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +62,10 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(feeds.raw_transactions(spark, sf_dir), "transaction_id", tie_break=feeds.TIE_BREAK)
 
 
+def dedup_latest_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_per_key(feeds.raw_transactions(spark, sf_dir), "transaction_id")
+
+
 def _silver_of(raw: DataFrame) -> DataFrame:
     return silver_table(raw, TRANSACTIONS, tie_break=feeds.TIE_BREAK, run_ts=_run_ts())
 
@@ -176,11 +180,11 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_values(feeds.raw_transactions(spark, sf_dir), "transaction_id")
+    return repeated_values(feeds.raw_lineage(spark, sf_dir), "transaction_id")
 
 
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = feeds.raw_transactions(spark, sf_dir)
+    raw = feeds.raw_lineage(spark, sf_dir)
     events = feeds.table(spark, sf_dir, "events")
     return union_sources(
         [
@@ -191,7 +195,7 @@ def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = feeds.raw_transactions(spark, sf_dir)
+    raw = feeds.raw_lineage(spark, sf_dir)
     return parity(raw, "raw_transactions", CLOUDS)
 
 
@@ -218,6 +222,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         clouds_present,
         ids_by_position,
         dedup_latest,
+        dedup_latest_default,
         silver_transactions,
         silver_customers,
         silver_products,

@@ -1,11 +1,9 @@
 """Money: parsing, order-independent totals, exact ratios.
 
 A plain ``sum`` over doubles depends on the order in which partial sums meet,
-so two runs of one job can differ in the last digits. Two-decimal amounts are
-therefore summed as whole cents held in a double: every partial sum is an
-integer and exact below 2**53 cents (90 trillion), so any order gives the same
-total, at the cost of a plain double ``sum``. Beyond that, and for values that
-are not whole cents (or not finite), the total is an ordinary double sum.
+so two runs of one job can differ in the last digits. Amounts are therefore
+summed as whole cents in decimals: every partial sum is exact at any size, and
+only the result becomes a double again.
 """
 
 from __future__ import annotations
@@ -15,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 def to_money(raw: Column | str) -> Column:
-    """Parse as double, two decimals half up; text that is no number gives NULL.
+    """Parse as double, two decimals half up; what is no finite number gives NULL.
 
     A value that already is the double of a two-decimal number is its own
     rounding, and skips the far slower general case.
@@ -23,29 +21,34 @@ def to_money(raw: Column | str) -> Column:
     column = F.col(raw) if isinstance(raw, str) else raw
     value = column.try_cast("double")
     two_decimals = F.rint(value * F.lit(100.0)) / F.lit(100.0) == value
-    return F.when(two_decimals, value).otherwise(F.round(value, 2))
+    finite = F.abs(value) < F.lit(float("inf"))
+    return F.when(finite & two_decimals, value).when(finite, F.round(value, 2))
+
+
+CENTS = "decimal(28,0)"
+CENT_SUMS = "decimal(38,0)"
 
 
 def to_cents(amount: Column | str) -> Column:
-    """Amount in cents, snapped to the integer when it is a whole-cent value."""
+    """Amount in whole cents; NULL for what is not finite or has more than 26 digits."""
     column = F.col(amount) if isinstance(amount, str) else amount
-    scaled = column * F.lit(100.0)
-    whole = F.rint(scaled)
-    return F.when(whole / F.lit(100.0) == column, whole).otherwise(scaled)
+    return F.rint(column * F.lit(100.0)).try_cast(CENTS)
 
 
 def from_cents(cents: Column | str) -> Column:
-    """Cents back to the nearest double amount."""
+    """Cents, or a sum of them, to the nearest double amount."""
     column = F.col(cents) if isinstance(cents, str) else cents
-    return column / F.lit(100.0)
+    return (column.cast(CENT_SUMS) / F.lit(100)).cast("double")
 
 
 def money_per(cents: Column, units: Column) -> Column:
     """``cents / units`` as money rounded half up to two decimals; NULL for zero units.
 
-    Rounding happens on whole cents, where a tie is an exact ``.5``.
+    Takes non-negative cents and works on whole numbers, so the result is rounded once.
     """
-    return from_cents(F.round(F.try_divide(cents, units.cast("double")), 0))
+    whole = F.nullif(units.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    doubled = cents.cast("decimal(36,0)") * F.lit(2)
+    return from_cents(F.call_function("div", doubled + whole, whole * F.lit(2)))
 
 
 def percent_of(part: Column, whole: Column) -> Column:

@@ -68,10 +68,11 @@ def cluster(
         raise ValueError(f"cannot cluster by partition columns: {sorted(overlap)}")
     if not columns:
         raise ValueError("no clustering columns; use compact()")
-    order = F.col(columns[0]) if len(columns) == 1 else z_value(df, columns)
+    bits = max(BITS_PER_COLUMN, -(-max(files or 1, 1).bit_length() // len(columns)) + 2)
+    order = F.col(columns[0]) if len(columns) == 1 else z_value(df, columns, bits)
     placed = df.withColumns(
         {"_cluster": order, "_spread": spread if spread is not None else F.xxhash64(*[F.col(c) for c in df.columns])}
     )
-    keys = [*partition_by, "_cluster", "_spread"]
+    keys = [*partition_by, "_cluster", *columns, "_spread"]
     ranged = placed.repartitionByRange(files, *keys) if files else placed.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*partition_by, "_cluster", *columns).drop("_cluster", "_spread")

@@ -8,8 +8,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from stratamill.contracts import CLOUDS, CONTRACTS, CUSTOMERS, GOLD_CLUSTER_BY, PRODUCTS, TRANSACTIONS, TableContract
+from stratamill.contracts import CONTRACTS, CUSTOMERS, GOLD_CLUSTER_BY, LINEAGE_COLUMNS, PRODUCTS, TRANSACTIONS, TableContract
 from stratamill.functions.days import AsOf, RunTime
 from stratamill.operators.combine import union_sources
 from stratamill.operators.lineage import stamp
@@ -31,6 +32,7 @@ from stratamill.sinks.replicate import replicate_directories
 from stratamill.sources.bronze import append_bronze, read_all_bronze
 from stratamill.sources.files import read_new_files
 from stratamill.sources.serving import as_view, serve
+from stratamill.streaming.feed_schema import stored_schema
 from stratamill.streaming.ingest import ingest_available
 
 logger = logging.getLogger(__name__)
@@ -48,8 +50,13 @@ class Lake:
     marts: str
 
     def bronze_of(self, table: str) -> dict[str, str]:
-        """The table's Bronze directory of every source."""
-        return {cloud: f"{base}/{table}" for cloud, base in self.bronze.items()}
+        """The table's Bronze directories of every source: what the stream and what full ingests delivered."""
+        streamed = {cloud: f"{base}/{table}" for cloud, base in self.bronze.items()}
+        return streamed | {f"{cloud} (full)": self.full_of(cloud, table) for cloud in self.bronze}
+
+    def full_of(self, cloud: str, table: str) -> str:
+        """Where full ingests go; the stream's directory is its own."""
+        return f"{self.bronze[cloud]}/full/{table}"
 
 
 def ingest_full(
@@ -61,7 +68,7 @@ def ingest_full(
     if rows is None:
         logger.info("no new files for %s from %s", contract.name, cloud)
         return False
-    append_bronze(stamp(rows, feed, cloud, run_ts=run_ts), lake.bronze_of(contract.name)[cloud])
+    append_bronze(stamp(rows, feed, cloud, run_ts=run_ts), lake.full_of(cloud, contract.name))
     return True
 
 
@@ -80,6 +87,18 @@ def ingest_incremental(spark: SparkSession, lake: Lake, cloud: str, contract: Ta
     )
 
 
+def _stored_schemas(spark: SparkSession, lake: Lake, table: str) -> dict[str, T.StructType]:
+    """By source, the columns of what was streamed into Bronze, so that no footer of its history is read."""
+    lineage = [T.StructField(c, T.TimestampType() if c == "_ingested_at" else T.StringType()) for c in LINEAGE_COLUMNS]
+    found = {}
+    for cloud, base in lake.bronze.items():
+        feed = stored_schema(spark, f"{base}/checkpoints/{table}-schema")
+        if feed is not None:
+            own = [f for f in lineage if f.name != "_date_part"] + [T.StructField("_date_part", T.DateType())]
+            found[cloud] = T.StructType([*feed.fields, *own])
+    return found
+
+
 def ingest_source(spark: SparkSession, lake: Lake, cloud: str) -> dict[str, bool]:
     """Ingest every table of one source; tells which had a feed."""
     return {c.name: ingest_incremental(spark, lake, cloud, c) for c in CONTRACTS.values()}
@@ -109,13 +128,14 @@ def silver_job(
     for name in tables:
         contract = CONTRACTS[name]
         root = f"{lake.silver}/{name}"
-        batch = silver_table(read_all_bronze(spark, lake.bronze_of(name), contract, since=since), contract, run_ts=run_ts)
+        bronze = read_all_bronze(spark, lake.bronze_of(name), contract, _stored_schemas(spark, lake, name), since)
+        batch = silver_table(bronze, contract, run_ts=run_ts)
         before = live_directories(spark, root)
         directories = stage_upsert(batch, root, contract.key, contract.partition_by, order_by)
         changed = sorted(set(directories) - set(before))
         if gate and changed and contract is TRANSACTIONS:
             staged = stg_transactions(read_directories(spark, root, changed, like=directories))
-            checks.enforce(checks.staging_checks(staged), checks.staging_key_check(staged))
+            checks.enforce(checks.staging_checks(staged, tuple(lake.bronze)), checks.staging_key_check(staged))
         publish(spark, root, directories)
 
 
@@ -190,10 +210,15 @@ def serve_job(spark: SparkSession, lake: Lake) -> list[str]:
 def quality_job(spark: SparkSession, lake: Lake) -> DataFrame:
     """All checks over the whole published tables, one row per rule."""
     primary = next(iter(lake.gold.values()))
-    staged = stg_transactions(read_silver(spark, lake, "transactions"))
+    silver = read_silver(spark, lake, "transactions")
+    staged = stg_transactions(silver)
+    performance = read_published(spark, f"{primary}/product_performance")
     return union_sources(
         [
-            checks.staging_checks(staged),
+            checks.freshness_check(silver, "silver_transactions"),
+            checks.conservation_check(performance, silver),
+            checks.silver_contract_checks(silver),
+            checks.staging_checks(staged, tuple(lake.bronze)),
             checks.staging_key_check(staged),
             checks.daily_checks(read_published(spark, f"{primary}/daily_revenue")),
             checks.rfm_checks(read_published(spark, f"{primary}/customer_rfm")),
@@ -227,7 +252,7 @@ def daily_run(
 
     ``since`` limits the Silver merge to the ingest days not yet merged.
     """
-    for cloud in (c for c in CLOUDS if c in lake.raw):
+    for cloud in lake.raw:
         ingest_source(spark, lake, cloud)
     silver_job(spark, lake, since=since, run_ts=run_ts, gate=gate)
     statuses = gold_job(spark, lake, as_of=as_of, run_ts=run_ts, gate=gate)

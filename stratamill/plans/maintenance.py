@@ -64,12 +64,19 @@ def compact_table(spark: SparkSession, task: LayoutTask, file_bytes: int = TARGE
     return len(ragged)
 
 
-def _batches(sizes: Mapping[str, int], batch_bytes: int) -> Iterator[list[str]]:
-    """Directories in groups of whole partitions, each group about ``batch_bytes`` or one partition."""
+def _batches(sizes: Mapping[str, int], batch_bytes: int, file_bytes: int) -> Iterator[list[str]]:
+    """Directories in groups of whole partitions, each group about ``batch_bytes`` or one partition.
+
+    A partition of several files is a group of its own: the bounds that place its
+    rows are then its own, not those of all months together.
+    """
     batch, held = [], 0
     for _, group in groupby(sorted(sizes, key=_partition), key=_partition):
         directories = list(group)
         size = sum(sizes[d] for d in directories)
+        if size > file_bytes:
+            yield directories
+            continue
         if batch and held + size > batch_bytes:
             yield batch
             batch, held = [], 0
@@ -104,7 +111,7 @@ def cluster_table(
         return 0
     stored = list_files(spark, task.root, loose).groupBy("directory").agg(F.sum("length").alias("size"))
     sizes = {d: 0 for d in loose} | {row.directory: row.size for row in stored.collect()}
-    for batch in _batches(sizes, batch_bytes):
+    for batch in _batches(sizes, batch_bytes, file_bytes):
         placed = cluster(
             read_directories(spark, task.root, batch, like=live),
             task.cluster_by,

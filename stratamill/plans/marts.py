@@ -14,15 +14,19 @@ REPORT_DAYS = 30
 
 
 def stg_transactions(silver: DataFrame) -> DataFrame:
-    """Valid Silver transactions under reporting names, amounts as exact decimals."""
-    valid = silver.filter(
+    """Valid Silver transactions under reporting names, amounts as exact decimals.
+
+    An amount that the decimal cannot hold is not valid.
+    """
+    exact = silver.withColumn("amount", F.col("amount").try_cast("decimal(18,2)"))
+    valid = exact.filter(
         F.col("transaction_id").isNotNull() & (F.col("amount") > 0) & F.col("txn_date").isNotNull()
     )
     return valid.select(
         "transaction_id",
         "customer_id",
         "product_id",
-        F.col("amount").cast("decimal(18,2)").alias("amount"),
+        "amount",
         F.col("txn_date").cast("date").alias("txn_date"),
         "txn_year",
         "txn_month",

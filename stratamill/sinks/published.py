@@ -4,7 +4,7 @@ Parquet has no merge and cannot be overwritten while it is read. A table root
 therefore looks like this::
 
     root/snapshot=<id>/...        data, written once, never changed
-    root/published/version=<n>    text: the live directories, one per line
+    root/published/version=<n>-<id>    text: the live directories, one per line
 
 A directory is ``snapshot=<id>`` or, for a partitioned table, one partition in
 it, so the list grows with the number of partitions, not with the rows. Data is
@@ -33,23 +33,32 @@ def directory_of(file_path: Column) -> Column:
     return F.concat(F.lit("snapshot="), F.left(below, F.length(below) - F.length(file_name) - F.lit(1)))
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Number of the newest published version, 0 for a table that does not exist."""
+def _newest_list(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number and path of the newest published list; 0 and None for a table that does not exist.
+
+    A list counts once it has a data file. One that a crash left half-written has none,
+    and its name is never used again, so it is in nobody's way.
+    """
     try:
-        lists = spark.read.schema("value string").text(f"{root}/published").inputFiles()
+        files = spark.read.schema("value string").text(f"{root}/published").inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
+            return 0, None
         raise
-    return max((int(path.split("/version=")[1].split("/")[0]) for path in lists), default=0)
+    names = {path.rsplit("/version=", 1)[1].split("/")[0] for path in files}
+    name = max(names, key=lambda n: (int(n.split("-")[0]), n), default=None)
+    return (0, None) if name is None else (int(name.split("-")[0]), f"{root}/published/version={name}")
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the newest published version, 0 for a table that does not exist."""
+    return _newest_list(spark, root)[0]
 
 
 def live_directories(spark: SparkSession, root: str) -> list[str]:
     """The live directories, relative to ``root``; empty for a table that does not exist."""
-    version = current_version(spark, root)
-    if version == 0:
-        return []
-    return sorted(row.value for row in spark.read.text(f"{root}/published/version={version}").collect())
+    _, path = _newest_list(spark, root)
+    return sorted(row.value for row in spark.read.text(path).collect()) if path else []
 
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's name for it
@@ -117,7 +126,7 @@ def publish(spark: SparkSession, root: str, directories: Sequence[str]) -> int:
     """Make exactly these directories the live state; returns the new version."""
     version = current_version(spark, root) + 1
     lines = spark.createDataFrame([(d,) for d in directories], "value string")
-    lines.coalesce(1).write.mode("error").text(f"{root}/published/version={version}")
+    lines.coalesce(1).write.mode("error").text(f"{root}/published/version={version}-{uuid.uuid4().hex}")
     return version
 
 

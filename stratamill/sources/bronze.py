@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratamill.contracts import TableContract
 from stratamill.operators.combine import conform, union_sources
@@ -25,7 +26,7 @@ def append_bronze(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("_date_part").parquet(path)
 
 
-def read_bronze(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """One source's Bronze table; columns a file lacks are NULL.
 
     Without ``schema`` the footers of all files are merged (a distributed
@@ -40,11 +41,14 @@ def read_all_bronze(
     spark: SparkSession,
     locations: Mapping[str, str],
     contract: TableContract,
-    schema: str | None = None,
+    schemas: Mapping[str, str | T.StructType] | None = None,
     since: dt.date | None = None,
 ) -> DataFrame:
     """The table from every source that has it, conformed and united.
 
+    ``schemas`` gives, by source, what its files may hold; for others the footers
+    of all files are merged.
+
     ``since`` keeps the ingest dates from that day on, and only their
     partitions are read.
 
@@ -54,7 +58,7 @@ def read_all_bronze(
     frames = []
     for source, path in locations.items():
         try:
-            frame = read_bronze(spark, path, schema)
+            frame = read_bronze(spark, path, (schemas or {}).get(source))
         except AnalysisException as error:
             if error.getCondition() not in NO_DATA:
                 raise

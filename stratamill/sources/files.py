@@ -29,6 +29,7 @@ def read_files(
     schema: str | None = None,
     infer_types: bool = False,
     since: dt.datetime | None = None,
+    merge: bool = False,
     formats: Sequence[str] | None = FEED_FORMATS,
 ) -> DataFrame:
     """Read feed files of one format.
@@ -36,14 +37,17 @@ def read_files(
     CSV has a header row, and its columns are text unless ``infer_types`` asks
     for the extra pass that types them. Column names come from the header; a
     file whose header disagrees raises instead of being read by position.
-    ``since`` keeps files modified strictly later. ``formats`` lists what is
-    accepted; None hands any format name to Spark.
+    ``since`` keeps files modified strictly later. ``merge`` takes the columns of
+    all files instead of one's, where the format stores them. ``formats`` lists
+    what is accepted; None hands any format name to Spark.
     """
     if formats is not None and fmt not in formats:
         raise ValueError(f"unsupported feed format: {fmt}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False).option("inferSchema", infer_types)
+    if merge:
+        reader = reader.option("mergeSchema", True)
     if since is not None:
         reader = reader.option("modifiedAfter", utc_text(since)).option("timeZone", "UTC")
     if schema is not None:

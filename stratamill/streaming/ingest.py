@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from stratamill.operators.lineage import stamp
-from stratamill.sources.files import NO_DATA, read_files
+from stratamill.streaming.feed_schema import feed_schema
 
 
 def ingest_available(
@@ -28,14 +27,15 @@ def ingest_available(
     neither skips nor repeats a file. The Bronze path belongs to this stream
     alone: readers trust the sink's log and would not see files added past it.
     Duplicates between files are left to Silver, which needs no stream state.
+
+    Without ``schema`` the feed's own is used, kept beside the checkpoint and
+    widened by the columns of new files, so that one which only some files
+    have arrives, and old files are never read again for it.
     """
     if schema is None:
-        try:
-            schema = read_files(spark, raw_path, fmt).schema
-        except AnalysisException as error:
-            if error.getCondition() in NO_DATA:
-                return False
-            raise
+        schema = feed_schema(spark, raw_path, fmt, f"{checkpoint}-schema")
+        if schema is None:
+            return False
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)

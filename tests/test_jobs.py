@@ -23,9 +23,10 @@ from stratamill.plans.jobs import (
     serve_job,
     silver_job,
 )
+from stratamill.plans import checks
 from stratamill.sinks.published import current_version, read_published
 from stratamill.sinks.written import written_once
-from stratamill.sources.bronze import append_bronze
+from stratamill.sources.bronze import append_bronze, read_all_bronze
 
 TODAY = dt.date(2024, 3, 1)
 
@@ -128,7 +129,23 @@ def test_rerun_without_news_changes_nothing(spark, lake):
     assert states[0] == states[1] and len(states[0][0]) == 4
 
 
-def test_failed_checks_keep_the_old_state(spark, lake):
+def test_missing_customers_only_warn(spark, lake):
+    deliver(spark, lake, "aws", "1", [("t7", None, "p1", "1", "2024-02-01", "completed")])
+    ingest_source(spark, lake, "aws")
+    silver_job(spark, lake, tables=["transactions"])
+    assert read_silver(spark, lake, "transactions").count() == 1
+
+
+def test_a_full_ingest_after_a_streamed_one_is_visible(spark, lake):
+    first_day(spark, lake)
+    ingest_source(spark, lake, "aws")
+    before = read_all_bronze(spark, lake.bronze_of("transactions"), TRANSACTIONS).count()
+    assert ingest_full(spark, lake, "aws", TRANSACTIONS)
+    assert read_all_bronze(spark, lake.bronze_of("transactions"), TRANSACTIONS).count() == 2 * before
+
+
+def test_failed_checks_keep_the_old_state(spark, lake, monkeypatch):
+    monkeypatch.setattr(checks, "WARN_ONLY", frozenset())
     first_day(spark, lake)
     ingest_source(spark, lake, "aws")
     silver_job(spark, lake, tables=["transactions"])
@@ -151,7 +168,7 @@ def test_full_ingest_appends_and_skips(spark, lake):
     assert ingest_full(spark, lake, "aws", TRANSACTIONS, run_ts=moment)
     assert ingest_full(spark, lake, "aws", TRANSACTIONS, run_ts=moment)
     assert ingest_full(spark, lake, "aws", TRANSACTIONS, since=dt.datetime(2100, 1, 1)) is False
-    bronze = spark.read.parquet(f"{lake.bronze['aws']}/transactions")
+    bronze = spark.read.parquet(lake.full_of("aws", "transactions"))
     assert bronze.count() == 4 and bronze.select("_ingested_at").distinct().first()[0] == moment
 
 

@@ -143,6 +143,6 @@ def test_clustering_in_batches(spark, folder):
     assert cluster_table(spark, LayoutTask("t", folder, ("k", "v"), ("p",)), batch_bytes=1) == 4
     assert current_version(spark, folder) == before + 4
     assert rows(read_published(spark, folder)) == rows(frame)
-    assert [sorted(b) for b in _batches({"snapshot=a/p=1": 5, "snapshot=b/p=1": 5, "snapshot=a/p=2": 3, "snapshot=a/p=3": 4}, 8)] == [
+    assert [sorted(b) for b in _batches({"snapshot=a/p=1": 5, "snapshot=b/p=1": 5, "snapshot=a/p=2": 3, "snapshot=a/p=3": 4}, 8, 100)] == [
         ["snapshot=a/p=1", "snapshot=b/p=1"], ["snapshot=a/p=2", "snapshot=a/p=3"]
     ]

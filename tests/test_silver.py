@@ -8,6 +8,7 @@ from stratamill.operators.cleanse import cleanse, cleanse_customers, cleanse_pro
 from stratamill.operators.combine import conform, union_positional, union_sources
 from stratamill.operators.dedup import latest_per_key
 from stratamill.operators.lineage import stamp
+from stratamill.plans.marts import stg_transactions
 from stratamill.plans.silver import silver_table
 
 RAW = "transaction_id string, amount string, txn_date string, _ingested_at timestamp"
@@ -105,3 +106,37 @@ def test_union_by_position(spark):
     right = spark.createDataFrame([(2, "b")], "p int, q string")
     united = union_positional([left, right])
     assert united.columns == ["x", "y"] and {tuple(r) for r in united.collect()} == {(1, "a"), (2, "b")}
+
+
+def test_default_tie_break_is_a_total_order_with_nulls(spark):
+    pairs = [("k", None, "a"), ("k", "a", None), ("k", None, None), ("k", "a", None)]
+    winners = set()
+    for turned in (pairs, pairs[::-1], pairs[2:] + pairs[:2]):
+        frame = spark.createDataFrame(turned, "key string, x string, y string").withColumn("_ingested_at", F.lit(1))
+        winners.update(tuple(r) for r in latest_per_key(frame.coalesce(1), "key").collect())
+    assert winners == {("k", "a", None, 1)}
+
+
+def test_default_tie_break_takes_maps(spark):
+    frame = spark.sql("SELECT 'k' AS key, map('a', n) AS m, 1 AS _ingested_at FROM VALUES (1), (3), (2) AS t(n)")
+    assert latest_per_key(frame, "key").first()["m"] == {"a": 3}
+
+
+def test_columns_of_two_types_become_text(spark):
+    left = spark.createDataFrame([(1, 7)], "id int, store int")
+    right = spark.sql("SELECT 2 AS id, 'N-7' AS store")
+    nested = spark.sql("SELECT 3 AS id, named_struct('a', 1) AS store")
+    got = {r.id: r.store for r in union_sources([left, right, nested, left.select("id")]).collect() if r.store}
+    assert got == {1: "7", 2: "N-7", 3: '{"a":1}'}
+
+
+def test_amounts_that_are_not_finite_or_too_large(spark):
+    rows = [("a", "NaN"), ("b", "Infinity"), ("c", "-Infinity"), ("d", "1e17"), ("e", "5.005")]
+    frame = spark.createDataFrame(rows, "transaction_id string, amount string")
+    frame = frame.selectExpr(
+        "*", "'c' customer_id", "'p' product_id", "'2024-01-01' txn_date", "'ok' status", "'aws' _cloud", "current_timestamp() _ingested_at"
+    )
+    clean = cleanse_transactions(frame)
+    assert {r.transaction_id: r.amount for r in clean.collect()} == {"d": 1e17, "e": 5.01}
+    staged = stg_transactions(clean).collect()
+    assert [(r.transaction_id, float(r.amount)) for r in staged] == [("e", 5.01)]

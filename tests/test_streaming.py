@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from stratamill.streaming.ingest import ingest_available
 
@@ -43,3 +44,32 @@ def test_text_feeds(spark, folder, fmt):
     frame.write.option("header", True).format(fmt).save(f"{folder}/raw")
     run(spark, folder, fmt)
     assert {(r.id, r.name) for r in bronze(spark, folder).collect()} == {("1", "a"), ("2", "b")}
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_columns_that_come_later_arrive(spark, folder, fmt):
+    for n in range(4):
+        rows = spark.range(n * 10, n * 10 + 3).selectExpr("id", f"concat('v', id) as extra_{n}")
+        rows.coalesce(1).write.mode("append").format(fmt).save(f"{folder}/raw")
+        assert run(spark, folder, fmt)
+    table = spark.read.option("mergeSchema", True).parquet(f"{folder}/bronze")
+    got = {r.id: [r[f"extra_{n}"] for n in range(4)] for r in table.collect()}
+    assert got == {n * 10 + k: [f"v{n * 10 + k}" if m == n else None for m in range(4)] for n in range(4) for k in range(3)}
+
+
+def test_columns_that_only_one_of_many_new_files_has_arrive(spark, folder):
+    for n in range(5):
+        spark.range(n, n + 1).selectExpr("id", f"id as only_{n}").write.mode("append").parquet(f"{folder}/raw")
+    run(spark, folder)
+    table = spark.read.option("mergeSchema", True).parquet(f"{folder}/bronze")
+    assert all(table.filter(f"only_{n} = {n}").count() == 1 for n in range(5))
+
+
+def test_a_csv_header_that_changes_fails_and_loses_nothing(spark, folder):
+    spark.createDataFrame([("1", "a")], "id string, name string").write.option("header", True).csv(f"{folder}/raw")
+    run(spark, folder, "csv")
+    other = spark.createDataFrame([("2", "b", "c")], "id string, more string, name string")
+    other.write.mode("append").option("header", True).csv(f"{folder}/raw")
+    with pytest.raises(StreamingQueryException):
+        run(spark, folder, "csv")
+    assert bronze(spark, folder).count() == 1

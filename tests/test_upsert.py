@@ -1,5 +1,6 @@
 import datetime as dt
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +168,24 @@ def test_only_the_null_partition_is_touched(spark, folder):
     table = read_published(spark, folder)
     assert dict(table.dtypes)["y"] == "int"
     assert rows(table) == Counter([("a", 2, None), ("b", 3, 5), ("c", 1, 5), ("d", 1, 6)])
+
+
+def half_written(folder, number):
+    """What a crash leaves of a version: a directory without a finished file."""
+    path = Path(folder) / "published" / f"version={number}" / "_temporary" / "0"
+    path.mkdir(parents=True)
+    (path / "part-00000").write_text("snapshot=lost")
+
+
+def test_a_half_written_version_is_in_nobodys_way(spark, folder, tmp_path):
+    rows_in = spark.createDataFrame([("a", 1)], "k string, v int")
+    half_written(folder, 1)
+    assert current_version(spark, folder) == 0
+    assert replace_published(rows_in, folder) == 1
+    half_written(folder, 2)
+    assert current_version(spark, folder) == 1
+    assert upsert_published(spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int"), folder, "k") == 2
+    assert replace_published(read_published(spark, folder), folder) == 3
+    assert {tuple(r) for r in read_published(spark, folder).collect()} == {("a", 2), ("b", 3)}
+    half_written(str(tmp_path), 1)
+    assert set(replicate(read_published(spark, folder), "copy", {"t": str(tmp_path)}).values()) == {"ok"}
