@@ -1,0 +1,48 @@
+"""The registered queries: their columns, and their SQL in DuckDB where there is one."""
+
+import os
+
+import parity
+import pytest
+
+import corpus_pipeline
+from stratamill.llm.queries import QUERIES
+from stratamill.llm.sql import ORACLE
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+COLUMNS = {
+    "op1_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op3_secret_scans": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op4_language_id": "doc_id held_out lang_pred score",
+    "op5_html_extraction": "page_id url text n_chars",
+    "op6_minhash_near_dedup": "doc_id n_shingles component_id kept",
+    "op7_embedding_near_dedup": "vec_id n_links component_id kept",
+    "op8_license_scans": "doc_id n_words n_base first_word last_word base_labels labels score",
+    "op9_packing": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op10_url_filters": "page_id host path rule verdict",
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, monkeypatch, name):
+    monkeypatch.setattr(parity, "TABLES", TABLES)
+    assert parity.differences(spark, QUERIES[name], ORACLE[name], SF_DIR) is None
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns_of_the_contract_come_first(spark, name):
+    wanted = COLUMNS[name].split()
+    assert QUERIES[name](spark, SF_DIR).columns[: len(wanted)] == wanted
+
+
+def test_all_ten_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules",
+        "MinHash near-dedup",
+        "secret scans",
+        "mixing sources",
+        "best-fit packing",
+    ]
