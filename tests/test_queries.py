@@ -6,25 +6,29 @@ import pytest
 from parity import differences
 
 import __spark_entry__ as contract
+from stratamill.catalogue.oracle import ORACLE
+from stratamill.catalogue.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, name):
-    assert differences(spark, contract.queries()[name], contract.oracle_sql()[name], SF_DIR) is None
+    assert differences(spark, QUERIES[name], ORACLE[name], SF_DIR) is None
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLE.items() <= contract.oracle_sql().items()
 
 
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_leaves_the_jvm(spark, name):
-    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct"):
         assert operator not in plan
