@@ -101,7 +101,7 @@ def test_two_days(spark, lake):
     assert layout_job(spark, lake)["silver-transactions"] == 0
     assert len(serve_job(spark, lake)) == 8
     report = quality_job(spark, lake).collect()
-    assert len(report) == 9 and {r.status for r in report} == {"pass"}
+    assert len(report) == 17 and {r.status for r in report} == {"pass"}
     top = spark.sql(
         "SELECT category, sum(total_revenue) AS revenue FROM daily_revenue"
         " WHERE txn_date >= date_sub(DATE'2024-03-01', 60) GROUP BY category ORDER BY revenue DESC"
