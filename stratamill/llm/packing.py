@@ -34,6 +34,8 @@ from stratamill.sinks.written import written_once
 
 CAPACITY = 2048
 END = 0
+# Text tokenized at a time; its ids and their places take some thirty times as much memory.
+CHUNK_BYTES = 2 << 20
 
 PIECE_SCHEMA = (
     "doc_id {key}, piece int, start long, length long, ids_crc32 long, {ids}_block int, _number long"
@@ -48,7 +50,7 @@ def pieces(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, wi
 
         block, counted = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         path = tokenizer_path(tokenizer)
-        for batch in chunks(batches, 1):
+        for batch in chunks(batches, 1, CHUNK_BYTES):
             ids, starts = ids_of(batch.column(1), path)
             ids = np.insert(ids.astype("<u4"), starts[1:], END)
             starts = starts + np.arange(len(starts))

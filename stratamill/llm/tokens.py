@@ -16,8 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
-# Letter runs remembered by a worker; beyond it the memory is emptied and filled anew.
-REMEMBERED = 1_000_000
+# Letter runs remembered by a worker; beyond it only those of the current texts are kept.
+REMEMBERED = 400_000
 # A run of Latin letters, then ASCII punctuation without apostrophes (which begin tokens
 # of their own): two pieces that the tokenizer never joins.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)\Z")
@@ -79,7 +79,7 @@ class WordIds:
         odd = [word for word, s in zip(words, split, strict=True) if s is None]
         wanted = {p for s in split if s for p in s if p}
         if len(self.seen) > REMEMBERED:
-            self.seen = {}
+            self.seen = {p: self.seen[p] for p in wanted if p in self.seen}
         self._learn(sorted(wanted - self.seen.keys()))
         whole = {w: ids.tobytes() for w, ids in zip(odd, self._encode(odd), strict=True)}
         seen = self.seen | {"": b""} if "" not in self.seen else self.seen
