@@ -53,7 +53,7 @@ def test_columns_that_come_later_arrive(spark, folder, fmt):
         rows.coalesce(1).write.mode("append").format(fmt).save(f"{folder}/raw")
         assert run(spark, folder, fmt)
     table = spark.read.option("mergeSchema", True).parquet(f"{folder}/bronze")
-    got = {r.id: [r[f"extra_{n}"] for n in range(4)] for r in table.collect()}
+    got = {int(r.id): [r[f"extra_{n}"] for n in range(4)] for r in table.collect()}
     assert got == {n * 10 + k: [f"v{n * 10 + k}" if m == n else None for m in range(4)] for n in range(4) for k in range(3)}
 
 
