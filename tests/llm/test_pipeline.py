@@ -22,7 +22,7 @@ def corpus():
             rows.append((500 + i, " ".join([*words[:-2], "other", "end"]), "en", "src1"))
         if i % 7 == 0:
             rows.append((700 + i, "  ".join(w.upper() for w in words[:60]) + " " + SECRET, "en", "src9"))
-    rows.append((900, " ".join(vocabulary[450:]) + " " + SECRET, "en", None))
+    rows.append((900, " ".join(f"only{i} the" for i in range(40)) + " " + SECRET, "en", None))
     rows.append(rows[-1])
     rows.append((901, "#### $$$$ " * 60, "en", "src1"))
     return rows
