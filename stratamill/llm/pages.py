@@ -3,14 +3,15 @@
 A page is read into blocks in page order. Blocks in menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments are boilerplate; those in an article (or, if
 there is none, in a main element) are content and stay whole, however often other pages
-repeat them. Pages without either leave blocks of which the structure says nothing; there
-the host decides:
+repeat them. About all other blocks the host decides:
 
 * the token streams of a host's pages, boilerplate included and content not, are
   concatenated, and their suffixes are sorted to a depth of ``RUN`` tokens;
 * runs of ``RUN`` tokens that stand on ``PAGES`` distinct pages or more cover boilerplate;
   pages of equal streams are one;
-* covered tokens of undecided blocks are removed, unique runs are kept.
+* covered tokens of undecided blocks are removed, unique runs are kept. Beside an article or
+  main element, the rest is kept if it has ``RUN`` words or more: an article that is only
+  a teaser does not silence the text around it.
 
 Pages are shuffled once, by host. A host with more than ``SHARD_PAGES`` pages or
 ``SHARD_BYTES`` of markup is dealt into shards by a hash of the markup, so that no task
@@ -25,6 +26,7 @@ empty result. Extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from html import unescape
 
@@ -200,37 +202,57 @@ def _unique_words(words: list[str], hidden: np.ndarray) -> list[str]:
     return [w for w, h in zip(words, hidden.tolist(), strict=True) if not h]
 
 
+def _is_content(mode: int, best: int) -> bool:
+    return mode == best >= MAIN
+
+
+def _best(blocks: list[tuple[int, str]]) -> int:
+    return max((mode for mode, _ in blocks), default=EXCLUDED)
+
+
+def _is_open(blocks: list[tuple[int, str]]) -> bool:
+    """Whether the host has to decide about some of the page's blocks."""
+    best = _best(blocks)
+    return any(mode >= UNDECIDED and not _is_content(mode, best) for mode, _ in blocks)
+
+
+def _outside(blocks: list[tuple[int, str]]) -> list[str]:
+    """The words that are not content."""
+    best = _best(blocks)
+    return [w for mode, text in blocks if not _is_content(mode, best) for w in text.split(" ")]
+
+
+def _mark(blocks: list[tuple[int, str]]) -> bytes:
+    return hashlib.blake2b(
+        "\n".join(f"{mode} {text}" for mode, text in blocks).encode("utf-8", "surrogatepass"), digest_size=16
+    ).digest()
+
+
+def _page_text(blocks: list[tuple[int, str]], hidden: np.ndarray) -> str:
+    """Text of a page; ``hidden`` says which of the words outside of content are covered."""
+    best, at, kept, own = _best(blocks), 0, [], 0
+    for mode, text in blocks:
+        if _is_content(mode, best):
+            kept.append((True, text))
+            continue
+        words = text.split(" ")
+        if mode >= UNDECIDED and (unique := _unique_words(words, hidden[at : at + len(words)].copy())):
+            kept.append((False, " ".join(unique)))
+            own += len(unique)
+        at += len(words)
+    return "\n".join(text for content, text in kept if content or best == UNDECIDED or own >= RUN)
+
+
 def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
     """Texts of pages of one host, given as blocks."""
-    best = [max((mode for mode, _ in blocks), default=EXCLUDED) for blocks in pages]
-    texts = [
-        "\n".join(text for mode, text in blocks if mode == b) if b >= MAIN else ""
-        for blocks, b in zip(pages, best, strict=True)
-    ]
-    undecided = [i for i, b in enumerate(best) if b == UNDECIDED]
-    if not undecided:
-        return texts
     numbers: dict[str, int] = {}
-    streams, place = [], {}
-    for i, blocks in enumerate(pages):
-        words = [w for mode, text in blocks if mode <= UNDECIDED for w in text.split(" ")]
-        stream = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
-        place.setdefault(stream.tobytes(), len(place))
-        if place[stream.tobytes()] == len(streams):
-            streams.append(stream)
-        pages[i] = [*blocks, (-1, stream.tobytes())]
-    hidden = covered(streams)
-    for i in undecided:
-        *blocks, (_, mark) = pages[i]
-        mask, at, kept = hidden[place[mark]], 0, []
-        for mode, text in blocks:
-            words = text.split(" ")
-            unique = _unique_words(words, mask[at : at + len(words)].copy())
-            at += len(words)
-            if mode == UNDECIDED and unique:
-                kept.append(" ".join(unique))
-        texts[i] = "\n".join(kept)
-    return texts
+    streams: dict[bytes, np.ndarray] = {}
+    marks = [_mark(blocks) for blocks in pages]
+    for mark, blocks in zip(marks, pages, strict=True):
+        if mark not in streams:
+            streams[mark] = np.array([numbers.setdefault(w, len(numbers)) for w in _outside(blocks)], np.int64)
+    hidden = dict(zip(streams, covered(list(streams.values())), strict=True)) if streams else {}
+    return [_page_text(blocks, hidden[mark]) for mark, blocks in zip(marks, pages, strict=True)]
 
 
 def page_texts(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -74,3 +74,15 @@ def test_every_row_once_whatever_the_shards(spark, monkeypatch):
     assert texts[5].startswith("T5 & more\n") and texts[100] == "" and texts[None] == "text"
     assert all(r["n_chars"] == len(r["text"]) for r in found)
     assert page_texts(frame.limit(0)).count() == 0
+
+
+def test_an_article_card_does_not_silence_the_text_around_it():
+    story = " ".join(f"own{i}" for i in range(30))
+    html = f"<div>{story}</div><article class='card'>Read this next</article>"
+    assert main_texts([blocks_of(html)]) == [f"{story}\nRead this next"]
+    html = f"<main><p>{story}</p><article>Read this next</article></main>"
+    assert main_texts([blocks_of(html)]) == [f"{story}\nRead this next"]
+    # What the host's pages share does not count for it.
+    menu = "Home About Contact Products Services News Jobs Help Login"
+    site = [f"<div>{menu}</div><article>Story {i}</article>" for i in range(4)]
+    assert main_texts([blocks_of(p) for p in site]) == [f"Story {i}" for i in range(4)]
