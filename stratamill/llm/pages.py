@@ -1,22 +1,22 @@
-"""Main text of web pages: page structure, and a suffix array over each host's pages.
+"""Main text of web pages: page structure, and the runs of tokens that a host's pages share.
 
 A page is read into blocks in page order. Blocks in menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments are boilerplate; those in an article (or, if
 there is none, in a main element) are content and stay whole, however often other pages
 repeat them. About all other blocks the host decides:
 
-* the token streams of a host's pages, boilerplate included and content not, are
-  concatenated, and their suffixes are sorted to a depth of ``RUN`` tokens;
-* runs of ``RUN`` tokens that stand on ``PAGES`` distinct pages or more cover boilerplate;
-  pages of equal streams are one;
-* covered tokens of undecided blocks are removed, unique runs are kept. Beside an article or
+* runs of ``RUN`` tokens, boilerplate included and content not, are counted over the
+  whole host by the distinct pages they stand on; pages of equal blocks are one;
+* runs that stand on ``PAGES`` pages or more cover boilerplate;
+* covered tokens of undecided blocks are removed, the rest is kept. Beside an article or
   main element, the rest is kept if it has ``RUN`` words or more: an article that is only
   a teaser does not silence the text around it.
 
-Pages are shuffled once, by host. A host with more than ``SHARD_PAGES`` pages or
-``SHARD_BYTES`` of markup is dealt into shards by a hash of the markup, so that no task
-gets a host as a whole; a template that stands on one page in a hundred is still found
-in every shard. The table of such hosts is broadcast only if it is small.
+Pages are read row by row. What is shuffled are 64-bit hashes of runs outside of content,
+once per distinct page of a host, and their counts, aggregated on the map side; the markup
+itself moves only for pages with undecided blocks, to meet the runs found. No task gets a
+host as a whole. ``main_texts`` gives the same for the pages of one host in memory, by a
+suffix array.
 
 Defined cases: a null or empty page has an empty text. A null url, or one without a
 host, belongs to the host "". Repeated pages give a row each. Unclosed and stray tags are
@@ -28,6 +28,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -36,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamill.llm.reputation import url_parts
+from stratamill.llm.tokens import chunks
 from stratamill.sinks.written import written_once
 
 RUN = 8
 PAGES = 3
+# Pages that a task holds at once.
 SHARD_PAGES = 256
-SHARD_BYTES = 4 << 20
-BROADCAST_HOSTS = 100_000
 
 EXCLUDED, UNDECIDED, MAIN, ARTICLE = range(4)
 
@@ -255,6 +257,39 @@ def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
     return [_page_text(blocks, hidden[mark]) for mark, blocks in zip(marks, pages, strict=True)]
 
 
+@lru_cache(maxsize=1 << 16)
+def _word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _runs(words: list[str]) -> np.ndarray:
+    """A hash of the ``RUN`` words that begin at each place."""
+    if len(words) < RUN:
+        return np.zeros(0, np.int64)
+    hashes = np.array([_word_hash(w) for w in words], np.uint64)
+    out = np.zeros(len(words) - RUN + 1, np.uint64)
+    for k in range(RUN):
+        out = (out ^ hashes[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def _hidden(words: list[str], often: np.ndarray) -> np.ndarray:
+    """Which words lie in one of the runs ``often``."""
+    runs = _runs(words)
+    change = np.zeros(len(words) + 1, np.int64)
+    starts = np.flatnonzero(np.isin(runs, often))
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + RUN, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _pages(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches, column):
+        for start in range(0, batch.num_rows, SHARD_PAGES):
+            yield batch.slice(start, SHARD_PAGES)
+
+
 def page_texts(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id`` (the key), ``url``, ``text`` and ``n_chars`` of every row of ``df``."""
     rows = df.select(
@@ -263,20 +298,55 @@ def page_texts(df: DataFrame, key: str = "page_id", url: str = "url", html: str
         F.coalesce(F.col(html), F.lit("")).alias("html"),
         url_parts(F.col(url))[0].alias("host"),
     )
-    size = F.greatest(F.ceil(F.count("*") / SHARD_PAGES), F.ceil(F.sum(F.length("html")) / SHARD_BYTES))
-    hosts = rows.groupBy("host").agg(size.cast("int").alias("shards")).where("shards > 1")
-    hosts = written_once(hosts)
-    few = hosts.count() <= BROADCAST_HOSTS
-    dealt = rows.join(F.broadcast(hosts) if few else hosts, "host", "left").withColumn(
-        "shard", F.pmod(F.xxhash64("html"), F.coalesce("shards", F.lit(1)))
-    )
-
-    def extract(group: pa.Table) -> pa.Table:
-        texts = main_texts([blocks_of(page.as_py()) for page in group.column("html")])
-        columns = [group.column("page_id"), group.column("url"), pa.array(texts, pa.string())]
-        columns.append(pa.array([len(t) for t in texts], pa.int64()))
-        return pa.Table.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
-
     types = dict(df.dtypes)
-    schema = f"page_id {types[key]}, url {types[url]}, text string, n_chars long"
-    return dealt.select("page_id", "url", "html", "host", "shard").groupBy("host", "shard").applyInArrow(extract, schema)
+    ids = f"page_id {types[key]}, url {types[url]}"
+
+    def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pages(batches, 1):
+            pages = [blocks_of(page) for page in batch.column(1).to_pylist()]
+            columns = [
+                batch.column(0),
+                pa.array([_mark(blocks) for blocks in pages], pa.binary()),
+                pa.array([_is_open(blocks) for blocks in pages], pa.bool_()),
+                pa.array([np.unique(_runs(_outside(blocks))) for blocks in pages], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "mark", "open", "runs"])
+
+    def decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pages(batches, 2):
+            pages = [blocks_of(page) for page in batch.column(2).to_pylist()]
+            texts = [None if _is_open(b) else _page_text(b, np.zeros(len(_outside(b)), bool)) for b in pages]
+            yield with_text(batch, texts).filter(pa.array([t is not None for t in texts], pa.bool_()))
+
+    def undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pages(batches, 2):
+            pages = [blocks_of(page) for page in batch.column(2).to_pylist()]
+            marks = pa.array([_mark(blocks) for blocks in pages], pa.binary())
+            columns = [*batch.columns, marks]
+            full = pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "html", "host", "mark"])
+            yield full.filter(pa.array([_is_open(blocks) for blocks in pages], pa.bool_()))
+
+    def uncovered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pages(batches, 2):
+            texts = []
+            for page, often in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                blocks = blocks_of(page)
+                texts.append(_page_text(blocks, _hidden(_outside(blocks), np.array(often or [], np.int64))))
+            yield with_text(batch, texts)
+
+    def with_text(batch: pa.RecordBatch, texts: list[str | None]) -> pa.RecordBatch:
+        columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
+        columns.append(pa.array([None if t is None else len(t) for t in texts], pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
+
+    outlines = rows.select("host", "html").mapInArrow(outline, "host string, mark binary, open boolean, runs array<long>")
+    distinct = written_once(outlines.groupBy("host", "mark").agg(F.first("open").alias("open"), F.first("runs").alias("runs")))
+    runs = distinct.select("host", "mark", "open", F.explode("runs").alias("run"))
+    often = runs.groupBy("host", "run").agg(F.count("*").alias("pages")).where(F.col("pages") >= PAGES)
+    found = runs.where("open").join(often.select("host", "run"), ["host", "run"])
+    found = found.groupBy("host", "mark").agg(F.collect_list("run").alias("often"))
+    columns = ["page_id", "url", "html", "host"]
+    schema = f"{ids}, text string, n_chars long"
+    open_pages = rows.select(*columns).mapInArrow(undecided, f"{ids}, html string, host string, mark binary")
+    met = open_pages.join(found, ["host", "mark"], "left").select("page_id", "url", "html", "often")
+    return rows.select(*columns).mapInArrow(decided, schema).union(met.mapInArrow(uncovered, schema))

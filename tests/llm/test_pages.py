@@ -86,3 +86,14 @@ def test_an_article_card_does_not_silence_the_text_around_it():
     menu = "Home About Contact Products Services News Jobs Help Login"
     site = [f"<div>{menu}</div><article>Story {i}</article>" for i in range(4)]
     assert main_texts([blocks_of(p) for p in site]) == [f"Story {i}" for i in range(4)]
+
+
+def test_runs_are_counted_over_the_whole_host(spark, monkeypatch):
+    monkeypatch.setattr(pages, "SHARD_PAGES", 2)
+    shared = "a passage of more than eight words on three pages"
+    site = [f"<p>{' '.join(f'w{i}x{k}' for k in range(12))}</p>" + (f"<p>{shared}</p>" if i % 20 == 0 else "") for i in range(60)]
+    site += [site[0]] * 40
+    frame = spark.createDataFrame([(i, "http://one.org/", html) for i, html in enumerate(site)], "page_id int, url string, html string")
+    found = {r["page_id"]: r["text"] for r in page_texts(frame).collect()}
+    assert [found[i] for i in range(len(site))] == main_texts([blocks_of(p) for p in site])
+    assert not any(shared in text for text in found.values())
