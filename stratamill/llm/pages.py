@@ -56,7 +56,7 @@ _HIDDEN = re.compile(r"\s(?:hidden(?=[\s=]|\Z)|aria-hidden\s*=\s*[\"']?true)", r
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Elements of HTML by how they are read.
-_RAW = frozenset("script style title textarea template noscript iframe svg math xmp".split())
+_RAW = frozenset("script style title textarea template noscript iframe svg xmp annotation annotation-xml".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -66,35 +66,79 @@ _BLOCKS = frozenset(
 _SPACES = frozenset("br td th img".split())
 _BOILERPLATE_TAGS = frozenset("aside button dialog footer form head header menu nav select".split())
 _BOILERPLATE_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "gdpr notice notices alert popup modal newsletter subscribe menu nav navbar navigation breadcrumb breadcrumbs "
-    "sidebar aside widget widgets footer header masthead comment comments reply replies discussion disqus related "
-    "share sharing social toolbar pagination pager login signup search".split()
+    "ad ads advert adverts advertisement advertising sponsored promo cookie cookies gdpr popup modal newsletter "
+    "subscribe nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets footer masthead disqus share "
+    "sharing toolbar pagination pager login signup".split()
 )
+_COMMENT_NAMES = frozenset("comment comments reply replies".split())
+# Names that content has as well: the host decides about the text in such elements.
+_DOUBTFUL_NAMES = frozenset(
+    "sponsor promotion banner consent notice notices alert menu aside header discussion related social search".split()
+)
+# What may stand beside them in one name.
+_QUALIFIERS = frozenset(
+    "site page main global top bottom left right primary secondary user reader box bar block list item container "
+    "wrapper wrap area section inner outer content form links buttons".split()
+)
+_KNOWN_NAMES = _COMMENT_NAMES | _BOILERPLATE_NAMES | _DOUBTFUL_NAMES | _QUALIFIERS
+_CONTENT_TAGS = frozenset("article main".split())
 _PLAIN_NAMES = frozenset("html body h1 h2 h3 h4 h5 h6".split())
 
 
-def _names_boilerplate(attributes: str) -> bool:
-    named = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes))
-    return not _BOILERPLATE_NAMES.isdisjoint(part.lower() for part in _PARTS.findall(named))
+NOTHING, DOUBTFUL, SOFT, HARD = range(4)
 
 
-def _mode(tag: str, attributes: str, outer: int) -> int:
-    if outer == EXCLUDED or tag in _BOILERPLATE_TAGS:
-        return EXCLUDED
-    if attributes and tag not in _PLAIN_NAMES and (_HIDDEN.search(attributes) or _names_boilerplate(attributes)):
+def _named(attributes: str) -> int:
+    """What class, id and role say: each name counts as a whole, by all of its parts."""
+    found = NOTHING
+    for name in " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).split():
+        parts = {part.lower() for part in _PARTS.findall(name) if not part.isdigit()}
+        for kind, names in ((HARD, _COMMENT_NAMES), (SOFT, _BOILERPLATE_NAMES), (DOUBTFUL, _DOUBTFUL_NAMES)):
+            if kind > found and parts & names and parts <= _KNOWN_NAMES:
+                found = kind
+    return found
+
+
+def _excluded(tag: str, attributes: str) -> int:
+    """Whether the element is boilerplate: HARD whatever it holds, SOFT unless the page's article is in it."""
+    if tag in _BOILERPLATE_TAGS:
+        return SOFT if tag == "form" and not _HIDDEN.search(attributes) and _named(attributes) < HARD else HARD
+    if not attributes or tag in _PLAIN_NAMES:
+        return NOTHING
+    if _HIDDEN.search(attributes):
+        return HARD
+    named = _named(attributes)
+    return named if named == HARD or tag not in _CONTENT_TAGS else NOTHING
+
+
+def _mode(tag: str, excluded: int, outer: int) -> int:
+    if outer == EXCLUDED or excluded >= SOFT:
         return EXCLUDED
     if tag == "article":
         return ARTICLE
-    return max(outer, MAIN) if tag == "main" else outer
+    if tag == "main":
+        return max(outer, MAIN)
+    return UNDECIDED if excluded == DOUBTFUL else outer
 
 
 def blocks_of(html: str) -> list[tuple[int, str]]:
-    """The page's blocks in order: what they stand in, and their text with single spaces."""
+    """The page's blocks in order: what they stand in, and their text with single spaces.
+
+    Where the page has its article or main element only inside of boilerplate by name, or
+    of a form, those elements around it are not boilerplate.
+    """
+    blocks, around = _blocks(html, frozenset())
+    return _blocks(html, around)[0] if around else blocks
+
+
+def _blocks(html: str, plain: frozenset[int]) -> tuple[list[tuple[int, str]], frozenset[int]]:
+    """The blocks, with the elements at ``plain`` no boilerplate; where elements around the only article begin."""
     out: list[tuple[int, str]] = []
     pending: list[str] = []
-    stack: list[tuple[str, int]] = []
+    stack: list[tuple[str, int, int, int]] = []
     mode, at = UNDECIDED, 0
+    around: set[int] = set()
+    outside = False
 
     def flush() -> None:
         text = " ".join("".join(pending).split())
@@ -128,7 +172,8 @@ def blocks_of(html: str) -> list[tuple[int, str]]:
             if tag in _BLOCKS:
                 flush()
             if depth is not None:
-                if any(block in _BLOCKS for block, _ in stack[depth:]):
+                around_it = stack[depth - 1][1] if depth else UNDECIDED
+                if around_it != mode or any(element[0] in _BLOCKS for element in stack[depth:]):
                     close(depth)
                 else:
                     del stack[depth:]
@@ -146,13 +191,19 @@ def blocks_of(html: str) -> list[tuple[int, str]]:
                     close(depth)
         if tag in _VOID:
             continue
-        inner_mode = _mode(tag, m[3], mode)
+        excluded = NOTHING if m.start() in plain else _excluded(tag, m[3])
+        if tag in _CONTENT_TAGS and excluded == NOTHING:
+            if mode != EXCLUDED:
+                outside = True
+            elif all(kind < HARD for _, _, kind, _ in stack):
+                around.update(begin for _, _, kind, begin in stack if kind == SOFT)
+        inner_mode = _mode(tag, excluded, mode)
         if inner_mode != mode:
             flush()
-        stack.append((tag, inner_mode))
+        stack.append((tag, inner_mode, excluded, m.start()))
         mode = inner_mode
     flush()
-    return out
+    return out, frozenset() if outside else frozenset(around)
 
 
 _NO_WALLS: frozenset[str] = frozenset()

@@ -97,3 +97,31 @@ def test_runs_are_counted_over_the_whole_host(spark, monkeypatch):
     found = {r["page_id"]: r["text"] for r in page_texts(frame).collect()}
     assert [found[i] for i in range(len(site))] == main_texts([blocks_of(p) for p in site])
     assert not any(shared in text for text in found.values())
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='page has-sidebar'><article>all of it</article></div>", "all of it"),
+        ("<article class='post category-search tag-social'>all of it</article>", "all of it"),
+        ("<main class='search-results'>all of it</main>", "all of it"),
+        ("<main class='search'>all of it</main>", "all of it"),
+        ("<form><div class='widget'>with this<article>all of it</article></div></form>", "all of it"),
+        ("<div class='sidebar'><article>card</article></div><article>real</article>", "real"),
+        ("<div id='comments'><article>no</article></div><p>yes", "yes"),
+        ("<article>x <span class='ad'>no</span> y</article>", "x\ny"),
+        ("<article>x <math><mi>y</mi></math></article>", "x y"),
+    ],
+)
+def test_names_do_not_silence_the_article(html, text):
+    assert main_texts([blocks_of(html)]) == [text]
+
+
+def test_the_host_decides_about_doubtful_names():
+    shared = "the same eight words or more on every page"
+    site = [
+        f"<article>a{i}<section id='discussion'>{' '.join(f'd{i}x{k}' for k in range(9))}</section>"
+        f"<div class='social'>{shared}</div></article>"
+        for i in range(3)
+    ]
+    assert main_texts([blocks_of(p) for p in site]) == [f"a{i}\n" + " ".join(f"d{i}x{k}" for k in range(9)) for i in range(3)]
