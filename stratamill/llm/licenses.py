@@ -1,16 +1,16 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-Blocks are the lines of a text, templates short notices; both are sets of words. A block
-matches where it holds at least ``CONTAINMENT`` of a template's words. The join is that
-of prefix filtering:
+Blocks are windows of words over the whole text, whatever its lines; templates short
+notices; both are sets of words. A window about as long as a notice matches where it
+holds at least ``CONTAINMENT`` of the notice's words, and a longer one where it holds all
+of them. The join is that of prefix filtering:
 
 * words are ordered by their frequency over all documents, rarest first, counted in one
   pass that keeps only words of templates (its result is bounded by the template list);
-* a block with t of a template's words has one of its first ``size - t + 1``: the prefix
-  index, a literal in the plan, finds candidate blocks;
-* blocks with fewer than t template words are out (length filter), and so are those
-  where too few words are left behind the first common one, on either side (positional
-  filter); the rest is verified.
+* a window with t of a template's words has one of its first ``size - t + 1``: windows
+  are looked at around the places of these words only;
+* places with fewer than t template words around them are out (length filter); the
+  windows over the rest are verified.
 
 The template side is a bounded parameter, so the join is evaluated within the row: no
 shuffle, no user function, and neither hot sources nor frequent lines gather anywhere.
@@ -67,11 +67,11 @@ def spaced_words(text: Column) -> Column:
 
 
 def template_words(text: str) -> frozenset[str]:
-    return frozenset("".join(c if c.isalnum() else " " for c in text.lower()).split())
+    return frozenset(_words_of(text))
 
 
-def _split(spaced: Column) -> Column:
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+def _words_of(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
 def _strings(values: list[str]) -> Column:
@@ -83,31 +83,53 @@ class Template:
     label: str
     words: tuple[str, ...]  # rarest first
     least: int
+    length: int  # of the notice, in words
 
     @property
     def prefix(self) -> tuple[str, ...]:
         return self.words[: len(self.words) - self.least + 1]
 
-    def containment(self, ordered: Column) -> Column:
-        """Of a block's template words, rarest first; null where it does not match."""
-        size = F.size(ordered)
-        first = F.get(F.array_intersect(_strings(list(self.prefix)), ordered), F.lit(0))
-        behind = F.least(
-            F.lit(len(self.words)) - F.array_position(_strings(list(self.words)), first),
-            size - F.array_position(ordered, first),
-        )
-        common = F.size(F.array_intersect(_strings(list(self.words)), ordered))
-        long_enough = (size >= self.least) & F.arrays_overlap(ordered, _strings(list(self.prefix)))
-        matches = F.when(long_enough, F.when(behind + 1 >= self.least, common >= self.least))
-        return F.when(matches, common.cast("double") / F.lit(float(len(self.words))))
+    @property
+    def near(self) -> int:
+        """Words in a window that may lack some of the template's: a comment mark per line may come between."""
+        return self.length + self.length // 8
+
+    @property
+    def far(self) -> int:
+        """Words in a window that holds all of the template's: others, such as "the terms of", may come between."""
+        return self.length + self.length * 3 // 5
+
+    def containment(self, words: Column, anchors: Column) -> Column:
+        """Of the best window of a text; null where none matches."""
+        size, own = len(self.words), _strings(list(self.words))
+
+        def around(anchor: Column) -> Column:
+            start = F.greatest(anchor["at"] - self.far + 1, F.lit(0))
+            return F.slice(words, start + 1, anchor["at"] + self.far - start)
+
+        def common(block: Column) -> Column:
+            return F.size(F.array_intersect(own, block))
+
+        def best(block: Column, length: int) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.size(block) - length + 1, F.lit(1)))
+            return F.array_max(F.transform(starts, lambda i: common(F.slice(block, i, length))))
+
+        def found(block: Column) -> Column:
+            whole = F.when(common(block) == size, best(block, self.far) == size)
+            return F.when(whole, F.lit(size)).otherwise(best(block, self.near))
+
+        blocks = F.transform(F.filter(anchors, lambda a: a["word"].isin(*self.prefix)), around)
+        blocks = F.filter(blocks, lambda block: common(block) >= self.least)
+        most = F.array_max(F.filter(F.transform(blocks, found), lambda n: n >= self.least))
+        return most.cast("double") / F.lit(float(size))
 
 
 def ordered_templates(
     df: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, share: float = CONTAINMENT
-) -> tuple[list[Template], list[str]]:
-    """The templates, and their words in the order of their frequency over the documents of ``df``."""
-    sets = [(label, template_words(notice)) for label, notice in templates]
-    vocabulary = sorted(frozenset().union(*[words for _, words in sets]))
+) -> list[Template]:
+    """The templates, their words in the order of their frequency over the documents of ``df``."""
+    sets = [(label, template_words(notice), len(_words_of(notice))) for label, notice in templates]
+    vocabulary = sorted(frozenset().union(*[words for _, words, _ in sets]))
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"more than {MAX_TEMPLATE_WORDS} words in the templates")
     words = F.array_intersect(F.split(spaced_words(F.col(text)), " "), _strings(vocabulary))
@@ -115,11 +137,11 @@ def ordered_templates(
     frequency = {row["word"]: row["count"] for row in counted.collect()}
     order = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
     found = []
-    for label, words in sets:
+    for label, words, length in sets:
         # A little less than the product, against its rounding up.
         least = max(1, math.ceil(len(words) * share - 1e-9))
-        found.append(Template(label, tuple(w for w in order if w in words), least))
-    return found, order
+        found.append(Template(label, tuple(w for w in order if w in words), least, length))
+    return found
 
 
 def license_scan(
@@ -133,29 +155,28 @@ def license_scan(
 
     ``score`` is the largest containment of a matching template, 1 with a base phrase, else 0.
     """
-    known, order = ordered_templates(df, text, templates, share)
-    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"), spaced_words(F.col(text)).alias("_spaced"))
+    known = ordered_templates(df, text, templates, share)
+    rows = df.select(F.col(key).alias("_key"), spaced_words(F.col(text)).alias("_spaced"))
     prefixes = sorted({w for t in known for w in t.prefix})
-    some_prefix = "|".join(prefixes)
-    lines = F.transform(F.split(F.coalesce("_text", F.lit("")), "\n"), spaced_words)
-    blocks = F.filter(lines, lambda line: line.rlike(f" ({some_prefix}) "))
-    ordered_blocks = F.transform(blocks, lambda line: F.array_intersect(_strings(order), F.split(line, " ")))
     phrased = reduce(or_, [F.col("_spaced").contains(f" {phrase} ") for phrase in PHRASES])
-    candidate = F.col("_spaced").rlike(f" ({some_prefix}) ")
-    rows = rows.select(
-        "_key",
-        "_spaced",
-        F.when(candidate, ordered_blocks).alias("_blocks"),
-        F.when(phrased, _split(F.col("_spaced"))).alias("_words"),
-    )
-    scored = F.transform("_blocks", lambda b: F.array(*[_labelled(F.lit(t.label), t.containment(b)) for t in known]))
-    found = F.array_compact(F.flatten(scored))
+    candidate = F.col("_spaced").rlike(f" ({'|'.join(prefixes)}) ")
+    rows = rows.select("_key", "_spaced", phrased.alias("_phrased"), candidate.alias("_candidate"))
+    some_words = F.when(F.col("_phrased") | F.col("_candidate"), F.split(F.trim("_spaced"), " "))
+    rows = rows.select("_key", "_spaced", "_phrased", "_candidate", some_words.alias("_words"))
+
+    def anchor(word: Column, i: Column) -> Column:
+        return F.when(word.isin(*prefixes), F.struct(word.alias("word"), i.alias("at")))
+
+    anchors = F.when(F.col("_candidate"), F.array_compact(F.transform("_words", anchor)))
+    rows = rows.select("_key", "_spaced", "_phrased", "_words", anchors.alias("_anchors"))
+    scored = [_labelled(F.lit(t.label), t.containment(F.col("_words"), F.col("_anchors"))) for t in known]
+    found = F.when(F.size("_anchors") > 0, F.array_compact(F.array(*scored)))
     places = F.flatten(F.array(*[_places(phrase, label) for phrase, label in PHRASES.items()]))
     rows = rows.select(
         "_key",
         "_spaced",
         F.coalesce(found, F.array().cast("array<struct<label:string,score:double>>")).alias("_found"),
-        F.when(F.col("_words").isNotNull(), places)
+        F.when(F.col("_phrased"), places)
         .otherwise(F.array().cast("array<struct<label:string,at:int>>"))
         .alias("_places"),
     )

@@ -62,3 +62,19 @@ def test_stays_in_the_jvm_without_a_shuffle(spark):
     plan = license_scan(documents(spark, [(1, LINES[0])]))._jdf.queryExecution().executedPlan().toString()
     for operator in ("Python", "Arrow", "Exchange", "Join"):
         assert operator not in plan
+
+
+WRAPPED = {
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided",
+    "mpl-2.0": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy",
+    "gpl": "it under the\nyou can redistribute it and/or modify\nit under the terms of the GNU General\nPublic License as",
+    "mit": "This is released under the terms of the MIT License.",
+    "apache-2.0": "x\n" * 3000 + "Licensed under the terms of the Apache License,\nVersion 2.0" + "\ny" * 3000,
+    "": "The album was released under license in 1999. He reserved all seats and sold the rights.",
+}
+
+
+def test_notices_are_found_in_any_lines_and_only_together(spark):
+    texts = list(WRAPPED.values())
+    found = {r["doc_id"]: r["labels"] for r in license_scan(documents(spark, list(enumerate(texts)))).collect()}
+    assert [found[i] for i in range(len(texts))] == list(WRAPPED)
