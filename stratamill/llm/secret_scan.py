@@ -1,11 +1,14 @@
 """Secret scans through nested encodings, by a recursive decoding worklist.
 
 A text is the first layer. Every layer is searched for secrets and for encoded runs:
-percent-encoded, Unicode-escaped and base64 runs, the latter two possibly of compressed
-bytes (gzip, zlib, bzip2, xz, zstandard). Each decoded run is a new layer, which goes on
-the worklist unless a layer of the same content and place has been seen, so that runs
-which decode to themselves or to each other end. Characters of a layer carry the span of
-the original text they come from; a secret found in one is reported with that span.
+percent-encoded and Unicode-escaped text, decoded in place together with the printable
+text around it, and base64 runs, possibly of compressed bytes (gzip, zlib, bzip2, xz,
+zstandard). Each decoded run is a new layer, which goes on the worklist unless a layer of
+the same content and place has been seen, so that runs which decode to themselves or to
+each other end. Characters of a layer carry the span of the original text they come from;
+a secret found in one is reported with that span. What cannot be decoded is replaced and
+hides nothing else. A base64 run that is no clean text as a whole is also read by its
+lines and parts and at all four alignments; each reading that shows a secret is reported.
 
 Each text is handled by itself in Arrow batches: no shuffle, no state between rows, and
 a lost task is simply done again. Memory is that of one batch and one text's layers.
@@ -13,8 +16,7 @@ a lost task is simply done again. Memory is that of one batch and one text's lay
 Defined cases: a null text counts as empty and has no spans; empty tables give an empty
 result; repeated rows are scanned each; equal spans of one kind count once; extra
 columns are not read. A compressed run that unpacks to more than ``MAX_UNPACKED`` bytes
-is scanned as far as that and counted in ``n_oversized``, so that it cannot take a
-worker's memory.
+is scanned as far as that and counted in ``n_oversized``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,16 +48,23 @@ _ASSIGN_LEAST = 12
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-# Both begin at the start of a run, so that a run without any code is read once.
+# A secret is printable ASCII: text around codes is decoded as far as that goes.
+_STRETCH = re.compile(r"[\x20-\x7e]+")
+_CODES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+# Codes of bytes, which may be compressed ones; from the start of a run, so that one without any code is read once.
 _PLAIN = r"[A-Za-z0-9._~:/?\[\]@!$&'()*+,;=-]"
 _PERCENT = re.compile(rf"(?<!{_PLAIN})(?:{_PLAIN}*%[0-9A-Fa-f]{{2}})+{_PLAIN}*")
-_ESCAPES = re.compile(r"(?<![!-\[\]-~])[!-\[\]-~]*(?:\\(?:u[0-9A-Fa-f]{4}|u\{[0-9A-Fa-f]{1,6}\}|x[0-9A-Fa-f]{2})[!-\[\]-~]*)+")
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|u\{([0-9A-Fa-f]{1,6})\}|x([0-9A-Fa-f]{2}))")
 # A run of base64 of 16 characters or more, in lines of 60 to 76 characters or in one piece.
 _BASE64 = re.compile(
     r"(?<![A-Za-z0-9+/_-])(?:(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{1,76}|[A-Za-z0-9+/_-]{16,})={0,2}"
 )
 _BREAK = re.compile(r"[\r\n]+")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+_PARTS = (re.compile(r"[A-Za-z0-9+_-]{16,}"), re.compile(r"[A-Za-z0-9+/]{16,}"), re.compile(r"[A-Za-z0-9+]{16,}"))
+# No secret, and no encoded one, is shorter.
+_LEGIBLE = re.compile(rb"[\x20-\x7e]{16}")
+_ESCAPED_BYTES = re.compile("[\udc80-\udcff]")
 
 MAX_UNPACKED = 64 << 20
 
@@ -63,19 +73,48 @@ MAX_UNPACKED = 64 << 20
 class Layer:
     """A text, and for each character where it begins and ends in the original.
 
-    ``places`` is None for the original itself; one span where all characters come
-    from the same place.
+    ``begins`` and ``ends`` are None for the original itself; numbers where all
+    characters come from the same place.
     """
 
     text: str
-    places: list[tuple[int, int]] | tuple[int, int] | None
+    begins: array | int | None
+    ends: array | int | None
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        if self.places is None:
+        if self.begins is None:
             return start, end
-        if isinstance(self.places, tuple):
-            return self.places
-        return self.places[start][0], self.places[end - 1][1]
+        if isinstance(self.begins, int):
+            return self.begins, self.ends
+        return self.begins[start], self.ends[end - 1]
+
+
+class Written:
+    """A layer being made of pieces of another."""
+
+    def __init__(self, layer: Layer):
+        self.layer, self.text, self.begins, self.ends = layer, [], array("q"), array("q")
+
+    def copy(self, start: int, end: int) -> None:
+        layer = self.layer
+        self.text.append(layer.text[start:end])
+        if layer.begins is None:
+            self.begins.extend(range(start, end))
+            self.ends.extend(range(start + 1, end + 1))
+        elif isinstance(layer.begins, int):
+            self.begins.extend([layer.begins] * (end - start))
+            self.ends.extend([layer.ends] * (end - start))
+        else:
+            self.begins.extend(layer.begins[start:end])
+            self.ends.extend(layer.ends[start:end])
+
+    def put(self, char: str, span: tuple[int, int]) -> None:
+        self.text.append(char)
+        self.begins.append(span[0])
+        self.ends.append(span[1])
+
+    def done(self) -> Layer:
+        return Layer("".join(self.text), self.begins, self.ends)
 
 
 def secrets(text: str) -> list[tuple[str, int, int]]:
@@ -90,14 +129,14 @@ def secrets(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _readable(data: bytes) -> str | None:
-    """The text of decoded bytes, if they are one."""
+def _clean(data: bytes) -> bool:
+    """Whether decoded bytes are text as a whole."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
+        return False
     odd = sum(not (c.isprintable() or c in "\t\n\r") for c in text)
-    return text if text and odd * 20 <= len(text) else None
+    return bool(text) and odd * 20 <= len(text)
 
 
 def _unpack(data: bytes) -> tuple[bytes, bool] | None:
@@ -128,107 +167,141 @@ def _unpack(data: bytes) -> tuple[bytes, bool] | None:
     return out[:MAX_UNPACKED], len(out) > MAX_UNPACKED
 
 
-def _bytes_layer(data: bytes, place: tuple[int, int]) -> tuple[Layer | None, bool]:
-    """The layer that decoded bytes make, unpacked as often as they are compressed; whether one was cut."""
-    cut, seen = False, set()
+def _unpacked(data: bytes) -> Iterator[tuple[bytes, bool]]:
+    """The unpacked bytes, unpacked as often as they are compressed; whether they were cut."""
+    cut, seen, packed = False, set(), False
     while (unpacked := _unpack(data)) is not None and (mark := hashlib.sha256(data).digest()) not in seen:
         seen.add(mark)
-        data, more = unpacked
+        packed, (data, more) = True, unpacked
         cut |= more
-    text = data.decode("utf-8", "ignore") if cut else _readable(data)
-    return (Layer(text, place) if text else None), cut
-
-
-def _percent_layer(layer: Layer, start: int, end: int) -> tuple[Layer | None, bool]:
-    run, data, origin = layer.text[start:end], bytearray(), []
-    i = 0
-    while i < len(run):
-        if run[i] == "%" and re.fullmatch("[0-9A-Fa-f]{2}", run[i + 1 : i + 3]):
-            data.append(int(run[i + 1 : i + 3], 16))
-            origin.append((start + i, start + i + 3))
-            i += 3
-        else:
-            data += run[i].encode()
-            origin.append((start + i, start + i + 1))
-            i += 1
-    if _unpack(bytes(data)):
-        return _bytes_layer(bytes(data), layer.span(start, end))
-    text = _readable(bytes(data))
-    if text is None:
-        return None, False
-    places, at = [], 0
-    for char in text:
-        size = len(char.encode())
-        places.append(layer.span(origin[at][0], origin[at + size - 1][1]))
-        at += size
-    return Layer(text, places), False
-
-
-def _escape_layer(layer: Layer, start: int, end: int) -> tuple[Layer | None, bool]:
-    run, text, places, last = layer.text[start:end], [], [], 0
-    for m in _ESCAPE.finditer(run):
-        for i in range(last, m.start()):
-            text.append(run[i])
-            places.append(layer.span(start + i, start + i + 1))
+    if packed:
+        yield data, cut
+
+
+def _bytes_layers(data: bytes, place: tuple[int, int]) -> Iterator[tuple[Layer | None, bool]]:
+    """The layers that decoded bytes make; whether they are found to be oversized."""
+    packed = False
+    for piece, oversized in _unpacked(data):
+        packed = True
+        yield (Layer(piece.decode("utf-8", "replace"), *place) if _LEGIBLE.search(piece) else None), oversized
+    if not packed and _LEGIBLE.search(data):
+        yield Layer(data.decode("utf-8", "replace"), *place), False
+
+
+def _percent_layer(layer: Layer, start: int, end: int) -> Layer | None:
+    out, last = Written(layer), start
+    for m in _CODES.finditer(layer.text, start, end):
+        out.copy(last, m.start())
+        last, at = m.end(), m.start()
+        for char in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape"):
+            odd = _ESCAPED_BYTES.match(char)
+            size = 3 if odd else 3 * len(char.encode())
+            out.put("\ufffd" if odd else char, layer.span(at, at + size))
+            at += size
+    if last == start:
+        return None
+    out.copy(last, end)
+    return out.done()
+
+
+def _percent_bytes(layer: Layer, start: int, end: int) -> Iterator[tuple[Layer | None, bool]]:
+    """The layers of a run whose bytes are compressed."""
+    run = layer.text[start:end].encode()
+    data = re.sub(rb"%([0-9A-Fa-f]{2})", lambda m: bytes.fromhex(m[1].decode()), run)
+    for piece, oversized in _unpacked(data):
+        yield Layer(piece.decode("utf-8", "replace"), *layer.span(start, end)), oversized
+
+
+def _escape_layer(layer: Layer, start: int, end: int) -> Layer | None:
+    out, last = Written(layer), start
+    for m in _ESCAPE.finditer(layer.text, start, end):
+        if last < m.start():
+            out.copy(last, m.start())
         last = m.end()
         code = int(m[1] or m[2] or m[3], 16)
-        if code > 0x10FFFF:
-            return None, False
-        place = layer.span(start + m.start(), start + last)
+        code = code if code <= 0x10FFFF else 0xFFFD
+        place = layer.span(m.start(), last)
         # Two halves of a surrogate pair are one character.
-        if text and 0xD800 <= ord(text[-1]) < 0xDC00 <= code < 0xE000:
-            code = 0x10000 + ((ord(text.pop()) - 0xD800) << 10) + code - 0xDC00
-            place = (places.pop()[0], place[1])
-        text.append(chr(code))
-        places.append(place)
-    for i in range(last, len(run)):
-        text.append(run[i])
-        places.append(layer.span(start + i, start + i + 1))
-    return Layer("".join(text), places), False
-
-
-def _base64_layer(layer: Layer, start: int, end: int) -> tuple[Layer | None, bool]:
-    run = _BREAK.sub("", layer.text[start:end]).rstrip("=").replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
-        return None, False
+        if out.text and 0xD800 <= ord(out.text[-1][-1]) < 0xDC00 <= code < 0xE000:
+            code = 0x10000 + ((ord(out.text.pop()) - 0xD800) << 10) + code - 0xDC00
+            place = (out.begins.pop(), place[1])
+            out.ends.pop()
+        out.put(chr(code), place)
+    if last == start:
+        return None
+    out.copy(last, end)
+    return out.done()
+
+
+def _from_base64(run: str) -> bytes:
+    """The bytes of a run, without the rest that is none."""
+    run = run[: len(run) - (len(run) % 4 == 1)]
     try:
-        data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
+        return base64.b64decode(run + "=" * (-len(run) % 4), altchars=None, validate=True)
     except (binascii.Error, ValueError):
-        return None, False
-    return _bytes_layer(data, layer.span(start, end))
+        return b""
+
+
+def _base64_layers(layer: Layer, start: int, end: int) -> Iterator[tuple[Layer | None, bool]]:
+    text = layer.text[start:end]
+    plain = lambda run: run.rstrip("=").replace("-", "+").replace("_", "/")
+    whole = plain(_BREAK.sub("", text))
+    data = _from_base64(whole)
+    yield from _bytes_layers(data, layer.span(start, end))
+    if len(whole) % 4 != 1 and _clean(data):
+        return
+    packed = next(_unpacked(data), None) is not None
+    # The parts of a compressed run are none by themselves, but another may begin on a later line.
+    patterns = (_LINE,) if packed else (_LINE, *_PARTS)
+    pieces = {(m.start(), m.end()) for pattern in patterns for m in pattern.finditer(text)}
+    if packed:
+        pieces = {(a, b) for a, b in pieces if a > 0}
+    for a, b in sorted(pieces):
+        run = plain(text[a:b])
+        for skip in range(4):
+            if (a, b, skip) != (0, len(text), 0):
+                yield from _bytes_layers(_from_base64(run[skip:]), layer.span(start + a, start + b))
+    if "\n" in text and not packed:
+        for skip in range(1, 4):
+            yield from _bytes_layers(_from_base64(whole[skip:]), layer.span(start, end))
 
 
 def encoded_runs(layer: Layer) -> Iterator[tuple[Layer | None, bool]]:
     text = layer.text
     if "%" in text:
         for m in _PERCENT.finditer(text):
-            yield _percent_layer(layer, *m.span())
-    if "\\" in text:
-        for m in _ESCAPES.finditer(text):
-            yield _escape_layer(layer, *m.span())
+            yield from _percent_bytes(layer, *m.span())
+    if "%" in text or "\\" in text:
+        for m in _STRETCH.finditer(text):
+            for code, decoded in (("%", _percent_layer), ("\\", _escape_layer)):
+                if text.find(code, *m.span()) >= 0:
+                    yield decoded(layer, *m.span()), False
     for m in _BASE64.finditer(text):
-        yield _base64_layer(layer, *m.span())
+        yield from _base64_layers(layer, *m.span())
 
 
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
-    """Base spans, all spans (both by start, then kind), and the number of layers cut short."""
+    """Base spans, all spans (both by start, then kind), and the number of layers scanned in pieces."""
     base = secrets(text)
-    found, cut, seen, work = set(base), 0, set(), [Layer(text, None)]
+    # Layers are made one at a time, so that the pieces of a large one are never all in memory.
+    found, oversized, seen, work = set(base), 0, set(), [encoded_runs(Layer(text, None, None))]
     while work:
-        layer = work.pop()
-        for inner, oversized in encoded_runs(layer):
-            cut += oversized
-            if inner is None:
-                continue
-            place = inner.span(0, len(inner.text))
-            mark = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), place)
-            if mark in seen:
-                continue
-            seen.add(mark)
-            work.append(inner)
-            found.update((kind, *inner.span(a, b)) for kind, a, b in secrets(inner.text))
+        inner, large = next(work[-1], (None, None))
+        if large is None:
+            work.pop()
+            continue
+        oversized += large
+        if inner is None or not inner.text:
+            continue
+        place = inner.span(0, len(inner.text))
+        mark = (hashlib.sha256(inner.text.encode("utf-8", "surrogatepass")).digest(), place)
+        if mark in seen:
+            continue
+        seen.add(mark)
+        found.update((kind, *inner.span(a, b)) for kind, a, b in secrets(inner.text))
+        work.append(encoded_runs(inner))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(base, key=order), sorted(found, key=order), cut
+    return sorted(base, key=order), sorted(found, key=order), oversized
 
 
 def listed(spans: list[tuple[str, int, int]]) -> str:

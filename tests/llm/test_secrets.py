@@ -123,3 +123,19 @@ def test_redaction_hides_all_and_nothing_else(spark):
     assert found.columns == frame.columns
     texts = {r["doc_id"]: r["text"] for r in found.collect()}
     assert texts == {1: 'a [SECRET]" b [SECRET] c', 2: None, 3: "clean text", 4: '[SECRET]"'}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "GET /q?name=caf%E9&password%3DSup3rS3cretValue99",
+        "password %3D abcdef123456",
+        "x \\u{110000} token\\u003d abcdef123456",
+        b64("é: password = Sup3rSecretValue99".encode("latin-1")),
+        b64(bytes(range(128, 200)) + SECRET.encode()),
+        "https://api.example.com/cb/" + b64(SECRET.encode()).rstrip("="),
+        b64((SECRET + "; and more words").encode()).rstrip("=") + "\nThen we deploy",
+    ],
+)
+def test_one_bad_byte_or_neighbour_hides_nothing(text):
+    assert any(kind == "assign" for kind, *_ in scan(text)[1])
