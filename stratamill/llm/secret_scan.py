@@ -15,8 +15,10 @@ a lost task is simply done again. Memory is that of one batch and one text's lay
 
 Defined cases: a null text counts as empty and has no spans; empty tables give an empty
 result; repeated rows are scanned each; equal spans of one kind count once; extra
-columns are not read. A compressed run that unpacks to more than ``MAX_UNPACKED`` bytes
-is scanned as far as that and counted in ``n_oversized``.
+columns are not read. Compressed runs are read to the end of their last stream. One that
+unpacks to more than ``MAX_UNPACKED`` bytes is scanned in overlapping pieces of that size,
+one at a time, and counted in ``n_oversized``; of an encoded run inside it that is longer
+than the overlap and crosses two pieces, each piece is read by itself.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import gzip
 import hashlib
+import io
 import lzma
 import re
 import zlib
@@ -139,43 +143,85 @@ def _clean(data: bytes) -> bool:
     return bool(text) and odd * 20 <= len(text)
 
 
-def _unpack(data: bytes) -> tuple[bytes, bool] | None:
-    """Decompressed bytes, and whether there were more than ``MAX_UNPACKED``."""
-    if data[:2] == b"\x1f\x8b":
-        engine = zlib.decompressobj(47)
-    elif data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-        engine = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        engine = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        engine = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
+class _Zlib:
+    """Reads zlib streams one after the other."""
+
+    def __init__(self, source):
+        self.source, self.engine, self.rest = source, zlib.decompressobj(), b""
+
+    def read1(self, size: int) -> bytes:
+        while True:
+            if self.engine.eof:
+                self.rest = self.engine.unused_data or self.source.read1(io.DEFAULT_BUFFER_SIZE)
+                self.engine = zlib.decompressobj()
+            data = self.rest or self.source.read1(io.DEFAULT_BUFFER_SIZE)
+            out = self.engine.decompress(data, size)
+            self.rest = self.engine.unconsumed_tail
+            if out or not data and not self.engine.eof:
+                return out
+
+
+class _Readable(io.RawIOBase):
+    """A decompressing reader that ends where its input is broken."""
+
+    def __init__(self, inner):
+        self.inner = inner
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        try:
+            data = self.inner.read1(len(buffer))
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return 0
+        buffer[: len(data)] = data
+        return len(data)
+
+
+class _Zstd:
+    def __init__(self, source):
         import zstandard
 
+        self.error = zstandard.ZstdError
+        self.reader = zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True)
+
+    def read1(self, size: int) -> bytes:
         try:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(MAX_UNPACKED + 1)
-        except zstandard.ZstdError:
-            return None
-        return out[:MAX_UNPACKED], len(out) > MAX_UNPACKED
-    else:
-        return None
-    try:
-        out = engine.decompress(data, MAX_UNPACKED + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
-    return out[:MAX_UNPACKED], len(out) > MAX_UNPACKED
+            return self.reader.read1(size)
+        except self.error:
+            return b""
+
+
+def _reader(source):
+    """What decompresses ``source``, by its first bytes."""
+    head = source.peek(6)[:6]
+    if head[:2] == b"\x1f\x8b":
+        return gzip.GzipFile(fileobj=source)
+    if head[:1] == b"\x78" and len(head) > 2 and (head[0] * 256 + head[1]) % 31 == 0:
+        return _Zlib(source)
+    if head[:3] == b"BZh":
+        return bz2.BZ2File(source)
+    if head == b"\xfd7zXZ\x00":
+        return lzma.LZMAFile(source)
+    return _Zstd(source) if head[:4] == b"\x28\xb5\x2f\xfd" else None
 
 
 def _unpacked(data: bytes) -> Iterator[tuple[bytes, bool]]:
-    """The unpacked bytes, unpacked as often as they are compressed; whether they were cut."""
-    cut, seen, packed = False, set(), False
-    while (unpacked := _unpack(data)) is not None and (mark := hashlib.sha256(data).digest()) not in seen:
+    """Pieces of the unpacked bytes, unpacked as often as they are compressed; whether a piece is the second."""
+    source, seen = io.BufferedReader(io.BytesIO(data)), set()
+    inner = _reader(source)
+    if inner is None:
+        return
+    while inner is not None and (mark := hashlib.sha256(source.peek(io.DEFAULT_BUFFER_SIZE)).digest()) not in seen:
         seen.add(mark)
-        packed, (data, more) = True, unpacked
-        cut |= more
-    if packed:
-        yield data, cut
+        source = io.BufferedReader(_Readable(inner))
+        inner = _reader(source)
+    piece, count = b"", 0
+    while block := source.read(MAX_UNPACKED - len(piece)):
+        piece, count = piece + block, count + 1
+        yield piece, count == 2
+        piece = piece[-(MAX_UNPACKED // 8) :]
 
 
 def _bytes_layers(data: bytes, place: tuple[int, int]) -> Iterator[tuple[Layer | None, bool]]:

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
@@ -139,3 +140,16 @@ def test_redaction_hides_all_and_nothing_else(spark):
 )
 def test_one_bad_byte_or_neighbour_hides_nothing(text):
     assert any(kind == "assign" for kind, *_ in scan(text)[1])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_all_streams_are_read_to_their_end(monkeypatch, spark, pack):
+    text = b64(pack(b"nothing here") + pack(b"more words " * 20) + pack(SECRET.encode()))
+    assert [kind for kind, *_ in scan(text)[1]] == ["assign"]
+    monkeypatch.setattr(secret_scan, "MAX_UNPACKED", 1000)
+    for before in (980, 5000, 99_990):
+        text = b64(pack(b" " * before + SECRET.encode() + b" " * 3000))
+        _, every, oversized = scan(text)
+        assert oversized == 1 and [kind for kind, *_ in every] == ["assign"]
+    text = b64(pack(b" " * 5000 + SECRET.encode()))
+    assert redacted(documents(spark, [(1, text)])).first()["text"] == "[SECRET]"
