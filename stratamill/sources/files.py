@@ -30,6 +30,7 @@ def read_files(
     infer_types: bool = False,
     since: dt.datetime | None = None,
     merge: bool = False,
+    base: str | None = None,
     formats: Sequence[str] | None = FEED_FORMATS,
 ) -> DataFrame:
     """Read feed files of one format.
@@ -38,8 +39,9 @@ def read_files(
     for the extra pass that types them. Column names come from the header; a
     file whose header disagrees raises instead of being read by position.
     ``since`` keeps files modified strictly later. ``merge`` takes the columns of
-    all files instead of one's, where the format stores them. ``formats`` lists
-    what is accepted; None hands any format name to Spark.
+    all files instead of one's, where the format stores them. ``base`` is the folder
+    below which folder names are partition columns, where ``paths`` are single
+    files. ``formats`` lists what is accepted; None hands any format name to Spark.
     """
     if formats is not None and fmt not in formats:
         raise ValueError(f"unsupported feed format: {fmt}")
@@ -48,6 +50,8 @@ def read_files(
         reader = reader.option("header", True).option("enforceSchema", False).option("inferSchema", infer_types)
     if merge:
         reader = reader.option("mergeSchema", True)
+    if base is not None:
+        reader = reader.option("basePath", base)
     if since is not None:
         reader = reader.option("modifiedAfter", utc_text(since)).option("timeZone", "UTC")
     if schema is not None:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import json
+import re
 import uuid
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stratamill.sources.files import NO_DATA, read_files
 
-# Files are looked at again for this long, against clocks that differ. Looking twice changes nothing.
-OVERLAP = dt.timedelta(hours=1)
+# Files looked at together; what of them passes the driver at once.
+BATCH_FILES = 10_000
 
 
 def _common(known: T.DataType, fresh: T.DataType, name: str) -> T.DataType:
@@ -50,49 +51,82 @@ def stored_schema(spark: SparkSession, store: str) -> T.StructType | None:
     return _stored(spark, store)[0]
 
 
-def _stored(spark: SparkSession, store: str) -> tuple[T.StructType | None, dt.datetime | None]:
+def _rows(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        lines = spark.read.schema("value string").text(store).collect()
+        return spark.read.schema("value string").text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None, None
+            return None
         raise
-    newest = max((json.loads(row.value) for row in lines), key=lambda x: (x["number"], x["until"]), default=None)
-    if newest is None:
-        return None, None
-    return T.StructType.fromJson(newest["schema"]), dt.datetime.fromisoformat(newest["until"])
+
+
+def _stored(spark: SparkSession, store: str) -> tuple[T.StructType | None, int]:
+    """The schema and its version."""
+    lines = _rows(spark, store)
+    found = [json.loads(row.value) for row in lines.collect()] if lines is not None else []
+    # Stores of an earlier form have no version; there, columns and time tell what is newest.
+    newest = max(found, key=lambda x: (x.get("version", 0), x["number"], x.get("until", "")), default=None)
+    return (T.StructType.fromJson(newest["schema"]), newest.get("version", 0)) if newest else (None, 0)
+
+
+def _keep(spark: SparkSession, lines: list[str], path: str) -> None:
+    frame = spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1)
+    frame.write.mode("error").text(f"{path}/version={uuid.uuid4().hex}")
+
+
+def _new_files(spark: SparkSession, raw_path: str, looked_at: str) -> Iterator[list[str]]:
+    """Batches of the feed's files that are not in the list at ``looked_at``, whatever their time."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_path).select("path")
+    known = _rows(spark, looked_at)
+    if known is not None:
+        # A path is kept as JSON, because it may hold any character.
+        known = known.selectExpr("from_json(value, 'path string').path AS path")
+        files = files.join(known, "path", "left_anti")
+    paths = (row.path for row in files.toLocalIterator())
+    while batch := list(islice(paths, BATCH_FILES)):
+        yield batch
+
+
+def _schema_of(spark: SparkSession, raw_path: str, paths: list[str], fmt: str) -> T.StructType | None:
+    """All columns of the files, with those that the folders below ``raw_path`` stand for."""
+    literal = [re.sub(r"([{}\[\]*?\\])", r"\\\1", path) for path in paths]
+    try:
+        if re.search(r"[{}\[\]*?\\]", raw_path):
+            fresh = read_files(spark, raw_path, fmt, merge=fmt == "parquet").schema
+        else:
+            fresh = read_files(spark, literal, fmt, merge=fmt == "parquet", base=raw_path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+    return as_text(fresh) if fmt == "json" else fresh
 
 
 def feed_schema(spark: SparkSession, raw_path: str, fmt: str, store: str) -> T.StructType | None:
     """The feed's schema with all columns seen so far; None when there is no feed yet.
 
-    Only files modified since the last call are read for it: footers of Parquet files, merged;
-    the rows of JSON files, single values as text; the header of a CSV file. A CSV file whose
-    header differs from the schema fails the ingest, which then has not taken it; nothing is
-    read by position.
+    Only files that no call has looked at are read for it, whatever their time; the list of
+    the others is kept at ``store`` with "-files" behind it. Read are footers of Parquet files,
+    merged; the rows of JSON files, single values as text; the header of a CSV file. A CSV
+    file whose header differs from the schema fails the ingest, which then has not taken it;
+    nothing is read by position.
     """
+    schema, version = _stored(spark, store)
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_path)
-        newest = files.agg(F.max(F.unix_micros("modificationTime")).alias("at")).first()["at"]
-        known, until = _stored(spark, store)
-        options = {"since": until - OVERLAP} if until else {}
-        fresh = read_files(spark, raw_path, fmt, merge=fmt == "parquet", **options).schema
-        fresh = as_text(fresh) if fmt == "json" else fresh
+        batches = _new_files(spark, raw_path, f"{store}-files")
+        for paths in batches:
+            fresh = None if fmt == "csv" and schema is not None else _schema_of(spark, raw_path, paths, fmt)
+            wider = widened(schema, fresh) if schema and fresh else schema or fresh
+            if wider is None:
+                continue
+            if wider != schema:
+                schema, version = wider, version + 1
+                line = {"version": version, "number": len(schema.fields), "schema": schema.jsonValue()}
+                _keep(spark, [json.dumps(line)], store)
+            # Only now: a file counts as looked at when its columns are kept.
+            _keep(spark, [json.dumps({"path": path}) for path in paths], f"{store}-files")
     except AnalysisException as error:
         if error.getCondition() not in NO_DATA:
             raise
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        fresh, known = None, _stored(spark, store)[0]
-    if fresh is None or fmt == "csv" and known is not None:
-        schema = known
-    else:
-        schema = widened(known, fresh) if known else fresh
-    if schema is None or newest is None:
-        return schema
-    seen = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=newest)
-    if schema != known or until is None or seen > until:
-        line = json.dumps({"number": len(schema.fields), "until": seen.isoformat(), "schema": schema.jsonValue()})
-        frame = spark.createDataFrame([(line,)], "value string").coalesce(1)
-        frame.write.mode("error").text(f"{store}/version={uuid.uuid4().hex}")
+        return None if error.getCondition() == "PATH_NOT_FOUND" else schema
     return schema

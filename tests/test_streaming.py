@@ -1,3 +1,6 @@
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
@@ -73,3 +76,28 @@ def test_a_csv_header_that_changes_fails_and_loses_nothing(spark, folder):
     with pytest.raises(StreamingQueryException):
         run(spark, folder, "csv")
     assert bronze(spark, folder).count() == 1
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_columns_of_a_late_file_with_an_old_time_arrive(spark, folder, fmt):
+    spark.range(3).coalesce(1).write.format(fmt).save(f"{folder}/raw")
+    assert run(spark, folder, fmt)
+    late = spark.range(3, 5).selectExpr("id", "concat('v', id) AS extra").coalesce(1)
+    late.write.format(fmt).save(f"{folder}/late")
+    (part,) = Path(folder, "late").glob("part-*")
+    old = Path(folder, "raw", f"odd [name] {part.name}")
+    part.rename(old)
+    day_before = old.stat().st_mtime - 86_400
+    os.utime(old, (day_before, day_before))
+    assert run(spark, folder, fmt) and run(spark, folder, fmt)
+    table = spark.read.option("mergeSchema", True).parquet(f"{folder}/bronze")
+    assert {(int(r.id), r.extra) for r in table.collect()} == {*((i, None) for i in range(3)), (3, "v3"), (4, "v4")}
+
+
+def test_columns_in_folder_names_arrive_with_new_files(spark, folder):
+    for day in ("a", "b"):
+        frame = spark.range(2).selectExpr("id", f"'{day}' AS day", f"id AS only_{day}")
+        frame.write.mode("append").partitionBy("day").parquet(f"{folder}/raw")
+        run(spark, folder)
+    table = spark.read.option("mergeSchema", True).parquet(f"{folder}/bronze")
+    assert sorted((r.day, r.only_a, r.only_b) for r in table.collect() if r.id == 1) == [("a", 1, None), ("b", None, 1)]
