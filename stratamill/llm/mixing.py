@@ -3,15 +3,18 @@
 A source's repetition rate is its share of the wanted total over its own size. Each
 document draws its number of copies by inverting a Poisson distribution of that mean
 at a uniform value hashed from the seed and its id, is exploded by it, and every copy
-gets a hashed place in a global shuffle. A rerun draws the same copies.
+gets a hashed place in a global shuffle. A rerun draws the same copies. Where an id, or
+its lack, stands on several rows, their text and a running number of equal rows are
+hashed with it, so that each draws for itself.
 
 Sizes are summed on the map side. The rates are joined by a key of the weight table,
 so what is broadcast has a row per weight at most, however many sources the data has.
 The shuffle is keyed by a hash per copy: a hot source or repeated document is spread.
+Repeated ids are counted on the map side; only their rows are written once more, and
+equal rows are numbered within the task that read them, behind those of the tasks before.
 
 Defined cases: sources without a weight of their own, the null source included, share
-the rest's weight as one group. A null text counts as empty. Rows with equal or null ids
-draw the same number of copies. A group without any character keeps its documents once.
+the rest's weight as one group. A null text counts as empty. A group without any character keeps its documents once.
 Empty tables give an empty result. Extra columns are carried along; the result's own two
 columns replace any of the same name. A weight that would take more than ``MAX_RATE``
 copies of each document raises an error.
@@ -26,8 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from stratamill.sinks.written import written_once
+
 MAX_WEIGHTS = 10_000
 MAX_RATE = 10_000.0
+BROADCAST_IDS = 100_000
 # 52 bits of a digest make the uniform value, so that it is exact in a double.
 _HEX_DIGITS = 13
 
@@ -82,6 +88,35 @@ def poisson_steps(rates: DataFrame) -> DataFrame:
     return points.groupBy("_group", "rate").agg(steps.alias("steps"))
 
 
+def identified(rows: DataFrame, text: Column) -> DataFrame:
+    """``_row``, ``_key``, ``_group`` and ``_ident``: the key, with more behind it where several rows have the key."""
+    key = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
+    columns = ["_row", "_key", "_group"]
+    repeated = written_once(rows.groupBy("_key").count().where(F.col("count") > 1).select(F.col("_key").alias("_id")))
+    n_repeated = repeated.count()
+    if n_repeated == 0:
+        return rows.select(*columns, key.alias("_ident"))
+    without = repeated.where("_id is null").count() > 0
+    ids = repeated.where("_id is not null").withColumn("_repeated", F.lit(True))
+    ids = F.broadcast(ids) if n_repeated <= BROADCAST_IDS else ids
+    known = rows.where("_key is not null").join(ids, F.col("_key") == F.col("_id"), "left")
+    known = known.select(*columns, F.coalesce("_repeated", F.lit(False)).alias("_repeated"))
+    told = known.union(rows.where("_key is null").select(*columns, F.lit(without).alias("_repeated")))
+
+    text_mark = F.coalesce(F.md5(text), F.lit("null"))
+    mark = F.md5(F.concat_ws(":", key, text_mark, F.coalesce(F.md5("_group"), F.lit("null"))))
+    alike = told.where("_repeated").select(*columns, mark.alias("_mark"), F.spark_partition_id().alias("_task"))
+    alike = written_once(alike)
+    counts = alike.groupBy("_mark", "_task").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_mark").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_mark", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_mark", "_task").orderBy("_mark"))
+    numbered = alike.withColumn("_own", own).join(counts, ["_mark", "_task"])
+    ident = F.concat_ws(":", key, F.col("_mark"), F.col("_before") + F.col("_own"))
+    single = told.where("not _repeated").select(*columns, key.alias("_ident"))
+    return single.union(numbered.select(*columns, ident.alias("_ident")))
+
+
 def mix(
     df: DataFrame,
     weights: Mapping[str, float],
@@ -106,15 +141,15 @@ def mix(
         F.struct(*df.columns).alias("_row"),
         F.col(key).alias("_key"),
         _group(F.col(source), weights).alias("_group"),
-        uniform(F.lit(seed), F.col(key)).alias("_u"),
     )
+    rows = identified(rows, F.col("_row")[text]).withColumn("_u", uniform(F.lit(seed), F.col("_ident")))
     # At most a row per weight, each as long as its rate: bounded by the parameters.
     drawn = rows.join(F.broadcast(steps.withColumnRenamed("_group", "_g")), F.col("_group").eqNullSafe(F.col("_g")))
     copies = F.size(F.filter("steps", lambda step: step < F.col("_u")))
     exploded = drawn.where(copies > 0).select(
-        "_row", "_key", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_copy")
+        "_row", "_key", "_ident", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_copy")
     )
-    placed = exploded.withColumn("_place", uniform(F.lit(seed), F.col("_key"), F.col("_copy"), F.lit("place")))
+    placed = exploded.withColumn("_place", uniform(F.lit(seed), F.col("_ident"), F.col("_copy"), F.lit("place")))
     shuffled = placed.repartition(F.col("_place")).sortWithinPartitions("_place", "_key", "_copy")
     own = [F.col("_copy").alias("copy"), F.col("_place").alias("place")]
     return shuffled.select(*[F.col("_row")[c].alias(c) for c in df.columns if c not in ("copy", "place")], *own)

@@ -48,3 +48,15 @@ def test_odd_rows(spark):
         mix(frame, {"a": -1.0})
     with pytest.raises(Exception, match="too small for its weight"):
         mix(documents(spark, [(1, "x", None, "a"), (2, "y" * 200_000, None, "b")]), {"a": 1.0}).collect()
+
+
+def test_rows_without_an_id_of_their_own_draw_for_themselves(spark):
+    rows = [(None, f"text {i:04}", "en", "a") for i in range(600)] + [(1, f"more {i:04}", "en", "a") for i in range(600)]
+    rows += [(2, "same text", "en", "a")] * 600 + [(None, None, "en", "a")] * 600 + [(10 + i, "one text.", "en", "a") for i in range(600)]
+    found, again = (mix(documents(spark, rows).repartition(n), {"a": 1.0}).collect() for n in (3, 7))
+    assert Counter((r["doc_id"], r["text"], r["place"]) for r in found) == Counter((r["doc_id"], r["text"], r["place"]) for r in again)
+    assert len({r["place"] for r in found}) == len(found)
+    kinds = Counter((r["text"] or "none")[:4] for r in found)
+    assert len(kinds) == 5 and all(abs(n - 600) < 5 * math.sqrt(600) for n in kinds.values())
+    copies = Counter(Counter(r["text"] for r in found if (r["text"] or "").startswith("text")).values())
+    assert copies[1] > 100 and copies[2] > 50
