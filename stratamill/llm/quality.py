@@ -59,12 +59,9 @@ RULES = (
     Rule("open_lines", "n_open_lines", "n_lines", high=0.3),
 )
 
+BASE_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = (
-    "n_words",
-    "word_chars",
-    "n_symbols",
-    "n_dup_lines",
-    "n_repeat_words",
+    *BASE_MEASURES,
     "n_stop_words",
     "n_lines",
     "n_bullet_lines",
@@ -139,7 +136,7 @@ def text_measures(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ())
 def quality(
     df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
-    """Measures and verdicts, one row per row of ``df``, behind the columns of ``keep``.
+    """Measures and verdicts, one row per row of ``df``: ``keep``, base measures, verdicts, the others.
 
     ``base_failed``: fewer than 50 words, or more than half of them in repeated
     windows. ``failed_rules``: names of the table's rules that failed,
@@ -153,4 +150,6 @@ def quality(
     base_failed = short | repetitive
     names = F.concat_ws(",", *[F.when(rule.failed(), F.lit(rule.name)) for rule in rules])
     judged = text_measures(df, text, keep).withColumns({"base_failed": base_failed, "failed_rules": names})
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))
+    kept = ~F.col("base_failed") & (F.col("failed_rules") == "")
+    others = [name for name in MEASURES if name not in BASE_MEASURES]
+    return judged.select(*keep, *BASE_MEASURES, "base_failed", kept.alias("kept"), "failed_rules", *others)

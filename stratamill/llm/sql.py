@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from stratamill.llm.licenses import CONTAINMENT, NOT_WORD, PHRASES, TEMPLATES, template_words
 from stratamill.llm.parameters import SOURCE_WEIGHTS
-from stratamill.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS
+from stratamill.llm.quality import BASE_MEASURES, MAX_REPEAT_PERCENT, MEASURES, MIN_WORDS, RULES, STOP_WORDS
 from stratamill.llm.reputation import (
     BLOCK_ABOVE,
     BOUND_SIGMAS,
@@ -57,7 +57,9 @@ WITH texts AS (
          concat_ws(',', {", ".join(_failed(rule) for rule in RULES)}) AS failed_rules
   FROM measured
 )
-SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM judged
+SELECT doc_id, {", ".join(BASE_MEASURES)}, base_failed, NOT base_failed AND failed_rules = '' AS kept,
+       failed_rules, {", ".join(name for name in MEASURES if name not in BASE_MEASURES)}
+FROM judged
 """
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
