@@ -13,6 +13,7 @@ from stratamill.llm.mixing import mix
 from stratamill.llm.packing import pack
 from stratamill.llm.pages import page_texts
 from stratamill.llm.parameters import SOURCE_WEIGHTS
+from stratamill.llm.prefix_trie import prefix_trie
 from stratamill.llm.quality import quality
 from stratamill.llm.reputation import url_filter
 from stratamill.llm.rpforest import near_vectors
@@ -61,6 +62,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -74,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scans,
         op9_packing,
         op10_url_filters,
+        op13_prefix_trie,
     )
 }

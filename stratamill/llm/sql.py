@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratamill.llm.licenses import CONTAINMENT, NOT_WORD, PHRASES, TEMPLATES, template_words
 from stratamill.llm.parameters import SOURCE_WEIGHTS
+from stratamill.llm.prefix_trie import FAMILY, HEAD
 from stratamill.llm.quality import BASE_MEASURES, MAX_REPEAT_PERCENT, MEASURES, MIN_WORDS, RULES, STOP_WORDS
 from stratamill.llm.reputation import (
     BLOCK_ABOVE,
@@ -203,9 +204,56 @@ SELECT page_id, host, path, {_rules("name")} AS rule,
 FROM parts LEFT JOIN judged USING (host)
 """
 
+_CRC_POLYNOMIAL = 0xEDB88320
+TRIE = rf"""
+WITH table_of_crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {_CRC_POLYNOMIAL}) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+), turns AS (
+  SELECT conv_id AS conv, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+), words AS (
+  SELECT DISTINCT t, len(list_filter(regexp_split_to_array(text, '{BREAK}+'), lambda w: w <> '')) AS n_words FROM turns
+), own AS (
+  SELECT conv, list(t ORDER BY turn NULLS FIRST, role, text) AS ts FROM turns GROUP BY conv
+), hashed AS (
+  SELECT conv, ts, xor(list_reduce(list_concat([4294967295::BIGINT],
+           list_transform(string_split(conv::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {HEAD + 1} AS h
+  FROM own, table_of_crc
+), rebuilt AS (
+  SELECT o.conv, list_concat(coalesce(list_slice(f.ts, 1, o.h), []), list_slice(o.ts, o.h + 1, len(o.ts))) AS ts
+  FROM hashed AS o LEFT JOIN own AS f ON f.conv = o.conv - o.conv % {FAMILY}
+), prefixes AS (
+  SELECT conv, list_slice(ts, 1, d) AS node, d, d = len(ts) AS ended
+  FROM (SELECT conv, ts, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d AS depth, min(conv) AS conv, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv::VARCHAR, ',' ORDER BY conv) FILTER (ended), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, d
+), children AS (
+  SELECT list_slice(node, 1, depth - 1) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), measured AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(n_words, 0) AS saving
+  FROM nodes AS n LEFT JOIN children AS c ON c.node = n.node LEFT JOIN words AS w ON w.t = n.node[n.depth]
+), subtrees AS (
+  SELECT list_slice(node, 1, d) AS node, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saving) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM measured) GROUP BY 1
+)
+SELECT m.conv AS conv_id, m.depth::BIGINT AS depth, p.conv AS parent_conv_id, m.n_convs::BIGINT AS n_convs,
+       m.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+       m.ends_sha256
+FROM measured AS m JOIN subtrees AS s ON s.node = m.node
+LEFT JOIN nodes AS p ON m.depth > 0 AND p.node = list_slice(m.node, 1, m.depth - 1)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_mixing": MIXING,
     "op8_license_scans": LICENSES,
     "op10_url_filters": REPUTATION,
+    "op13_prefix_trie": TRIE,
 }
