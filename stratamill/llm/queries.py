@@ -10,6 +10,7 @@ from stratamill.llm.language import identify
 from stratamill.llm.licenses import license_scan
 from stratamill.llm.minhash import near_duplicates
 from stratamill.llm.mixing import mix
+from stratamill.llm.online_packing import pack_online
 from stratamill.llm.packing import pack
 from stratamill.llm.pages import page_texts
 from stratamill.llm.parameters import SOURCE_WEIGHTS
@@ -62,6 +63,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op12_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_online(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scans,
         op9_packing,
         op10_url_filters,
+        op12_online_packing,
         op13_prefix_trie,
     )
 }

@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_license_scans": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op9_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_url_filters": "page_id host path rule verdict",
+    "op12_online_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op13_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
