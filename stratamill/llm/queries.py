@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stratamill.llm.hard_negatives import hard_negatives
 from stratamill.llm.language import identify
 from stratamill.llm.licenses import license_scan
 from stratamill.llm.minhash import near_duplicates
@@ -63,6 +65,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector is given a wrong label, so that there are negatives close by."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = (F.col("label").cast("long") + 1) % 10
+    return hard_negatives(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))))
+
+
 def op12_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_online(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -84,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scans,
         op9_packing,
         op10_url_filters,
+        op11_hard_negatives,
         op12_online_packing,
         op13_prefix_trie,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratamill.llm.hard_negatives import ANCHOR_EVERY, HIGH_PERCENT, LOW_PERCENT, NEGATIVES, POSITIVES, SCALE
 from stratamill.llm.licenses import CONTAINMENT, NOT_WORD, PHRASES, TEMPLATES, template_words
 from stratamill.llm.parameters import SOURCE_WEIGHTS
 from stratamill.llm.prefix_trie import FAMILY, HEAD
@@ -250,10 +251,36 @@ FROM measured AS m JOIN subtrees AS s ON s.node = m.node
 LEFT JOIN nodes AS p ON m.depth > 0 AND p.node = list_slice(m.node, 1, m.depth - 1)
 """
 
+HARD_NEGATIVES = f"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id AS id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite({SCALE} * x::DOUBLE))) = 0
+), scored AS (
+  SELECT a.r AS anchor, a.id AS anchor_id, a.label = b.label AS same, b.id, b.r,
+         coalesce(list_inner_product(a.v, b.v), 0)::BIGINT AS score
+  FROM rows AS a JOIN rows AS b ON a.id % {ANCHOR_EVERY} = 0 AND a.r <> b.r AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) AS place FROM scored WHERE same
+  QUALIFY place <= {POSITIVES}
+), ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.id, n.r) AS rank
+  FROM positives AS p JOIN scored AS n ON n.anchor = p.anchor AND NOT n.same
+    AND n.score * 100 BETWEEN p.score * {LOW_PERCENT} AND p.score * {HIGH_PERCENT}
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= {NEGATIVES}
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op2_mixing": MIXING,
     "op8_license_scans": LICENSES,
     "op10_url_filters": REPUTATION,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op13_prefix_trie": TRIE,
 }

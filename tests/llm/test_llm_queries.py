@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_license_scans": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op9_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10_url_filters": "page_id host path rule verdict",
+    "op11_hard_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     "op12_online_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op13_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
@@ -39,8 +40,8 @@ def test_columns_of_the_contract_come_first(spark, name):
     assert QUERIES[name](spark, SF_DIR).columns[: len(wanted)] == wanted
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules",
         "MinHash near-dedup",
