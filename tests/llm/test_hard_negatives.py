@@ -67,7 +67,7 @@ def test_ties_and_a_hot_group_of_copies(spark):
 
 
 def test_large_numbers_are_exact(spark):
-    rows = [(i, [3e6 * (i + 4) / 9, 2.5e6 * (i + 1) / 7 - i, 1e6 + i * i], i % 3) for i in range(40)]
+    rows = [(i, [1e6 * (i + 4) / 9, 8e5 * (i + 1) / 7 - i, 1e5 + i * i], i % 3) for i in range(40)]
     got = sorted(map(tuple, hard_negatives(frame(spark, rows), anchor_every=10).collect()))
     assert got == expected(rows, 10) and got and max(r[4] for r in got) > 2**53
 
