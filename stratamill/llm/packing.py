@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratamill.llm.tokens import TOKENIZER, chunks, ids_of, tokenizer_path
+from stratamill.llm.tokens import TOKENIZER, chunks, forget, ids_of, tokenizer_path
 from stratamill.sinks.written import written_once
 
 CAPACITY = 2048
@@ -51,9 +51,12 @@ def pieces(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, wi
         block, counted = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         path = tokenizer_path(tokenizer)
         for batch in chunks(batches, 1, CHUNK_BYTES):
-            ids, starts = ids_of(batch.column(1), path)
-            ids = np.insert(ids.astype("<u4"), starts[1:], END)
+            found, starts = ids_of(batch.column(1), path)
             starts = starts + np.arange(len(starts))
+            ids = np.full(starts[-1], END, "<u4")
+            is_end = np.zeros(len(ids), bool)
+            is_end[starts[1:] - 1] = True
+            ids[~is_end] = found
             sizes = np.diff(starts)
             counts = -(-sizes // capacity)
             row = np.repeat(np.arange(len(sizes)), counts)
@@ -82,6 +85,7 @@ def pieces(df: DataFrame, key: str, text: str, capacity: int, tokenizer: str, wi
             columns += [pa.array(np.full(len(row), block), pa.int32()), pa.array(number, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, "_block", "_number"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        forget(path)
 
     schema = PIECE_SCHEMA.format(key=dict(df.dtypes)[key], ids="ids array<int>, " if with_ids else "")
     return df.select(key, text).mapInArrow(cut, schema)
