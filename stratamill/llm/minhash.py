@@ -49,6 +49,10 @@ SEED = 11
 RANGE_BITS = 20
 # Up to so many ids are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+# Parts that the partners of one class are dealt into.
+SALTS = 16
+# Bytes of texts unpacked, and of one text hashed, at a time.
+CHUNK_BYTES = 2 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -67,7 +71,17 @@ def _coefficients(count: int) -> np.ndarray:
 
 
 def word_hashes(words: bytes) -> np.ndarray:
-    """A 64-bit hash of each of the single-spaced words."""
+    """A 64-bit hash of each of the single-spaced words; those of a long text part by part."""
+    parts, start = [], 0
+    while start < len(words):
+        stop = words.find(b" ", start + CHUNK_BYTES)
+        stop = len(words) if stop < 0 else stop
+        parts.append(_hashes_of_part(words[start:stop]))
+        start = stop + 1
+    return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
+def _hashes_of_part(words: bytes) -> np.ndarray:
     raw = np.frombuffer(words + b" ", np.uint8)
     stops = np.flatnonzero(raw == 32)
     starts = np.concatenate(([0], stops[:-1] + 1))
@@ -126,7 +140,7 @@ def sketches(df: DataFrame, key: str, text: str, size: int, bands: int, rows: in
     """``doc``, ``mark`` (hash of the raw text), ``print`` (of its words), ``n_shingles``, ``bands``."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 2):
+        for batch in chunks(batches, 2, CHUNK_BYTES):
             prints, counts, flat = [], [], []
             for value in batch.column(2).to_pylist():
                 words = words_of(value or "")
@@ -166,9 +180,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, size: int
     """Those of ``pairs`` (a, b), a written table, whose full shingle sets are similar enough, as (u, v)."""
     needed = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
     texts = _texts_of(needed, 2 * pairs.count(), docs, key, text)
+    # A class that leads many others is sent once per part of its partners.
+    salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
     left = texts.select(F.col("_id").alias("a"), F.col("_text").alias("a_text"))
+    left = salted.select("a", "salt").distinct().join(left, "a")
     right = texts.select(F.col("_id").alias("b"), F.col("_text").alias("b_text"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text")
+    both = salted.join(right, "b").join(left, ["a", "salt"]).select("a", "b", "a_text", "b_text")
 
     def shingles(value: str) -> set[tuple[bytes, ...]]:
         words = words_of(value or "").split()
@@ -289,7 +306,7 @@ def _prefix_pairs(
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 2):
+        for batch in chunks(batches, 2, CHUNK_BYTES):
             words = [words_of(value or "") for value in batch.column(2).to_pylist()]
             sets = [shingle_hashes(w, size).view(np.int64) if w else [] for w in words]
             columns = [batch.column(0), batch.column(1), pa.array(sets, pa.list_(pa.int64()))]

@@ -80,3 +80,13 @@ def test_long_chains_are_one_component(spark):
     found = components(spark.createDataFrame(links, "u long, v long")).collect()
     assert {(r["node"], r["root"]) for r in found} == {(i, 0) for i in range(41)} | {(i, 100) for i in (100, 101, 102)}
     assert len(found) == 44
+
+
+def test_long_texts_are_hashed_part_by_part(monkeypatch):
+    from stratamill.llm import minhash
+
+    words = " ".join(f"w{i % 97}é" for i in range(5000)).encode()
+    whole = minhash.word_hashes(words)
+    monkeypatch.setattr(minhash, "CHUNK_BYTES", 64)
+    assert (minhash.word_hashes(words) == whole).all() and len(whole) == 5000
+    assert len(minhash.word_hashes(b"one")) == 1
