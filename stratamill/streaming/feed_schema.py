@@ -5,17 +5,15 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterator
-from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamill.sources.files import NO_DATA, read_files
-
-# Files looked at together; what of them passes the driver at once.
-BATCH_FILES = 10_000
+from stratamill.operators.combine import union_sources
+from stratamill.sources.files import read_files
 
 
 def _common(known: T.DataType, fresh: T.DataType, name: str) -> T.DataType:
@@ -74,27 +72,21 @@ def _keep(spark: SparkSession, lines: list[str], path: str) -> None:
     frame.write.mode("error").text(f"{path}/version={uuid.uuid4().hex}")
 
 
-def _new_files(spark: SparkSession, raw_path: str, looked_at: str) -> Iterator[list[str]]:
-    """Batches of the feed's files that are not in the list at ``looked_at``, whatever their time."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_path).select("path")
-    known = _rows(spark, looked_at)
-    if known is not None:
-        # A path is kept as JSON, because it may hold any character.
-        known = known.selectExpr("from_json(value, 'path string').path AS path")
-        files = files.join(known, "path", "left_anti")
-    paths = (row.path for row in files.toLocalIterator())
-    while batch := list(islice(paths, BATCH_FILES)):
-        yield batch
+def literal(path: str) -> str:
+    """The path as a pattern that only it matches."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def base_of(raw_path: str) -> str | None:
+    """The folder below which folder names are columns; a path with patterns has none."""
+    return None if re.search(r"[{}\[\]*?\\]", raw_path) else raw_path
 
 
 def _schema_of(spark: SparkSession, raw_path: str, paths: list[str], fmt: str) -> T.StructType | None:
     """All columns of the files, with those that the folders below ``raw_path`` stand for."""
-    literal = [re.sub(r"([{}\[\]*?\\])", r"\\\1", path) for path in paths]
+    options = {"merge": fmt == "parquet", "base": base_of(raw_path)}
     try:
-        if re.search(r"[{}\[\]*?\\]", raw_path):
-            fresh = read_files(spark, raw_path, fmt, merge=fmt == "parquet").schema
-        else:
-            fresh = read_files(spark, literal, fmt, merge=fmt == "parquet", base=raw_path).schema
+        fresh = read_files(spark, [literal(path) for path in paths], fmt, **options).schema
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
@@ -102,31 +94,66 @@ def _schema_of(spark: SparkSession, raw_path: str, paths: list[str], fmt: str) -
     return as_text(fresh) if fmt == "json" else fresh
 
 
-def feed_schema(spark: SparkSession, raw_path: str, fmt: str, store: str) -> T.StructType | None:
-    """The feed's schema with all columns seen so far; None when there is no feed yet.
+def keep_wider(spark: SparkSession, store: str, fresh: T.StructType | None) -> T.StructType | None:
+    """The schema kept at ``store``, widened by ``fresh`` and kept again if that changed it."""
+    schema, version = _stored(spark, store)
+    wider = widened(schema, fresh) if schema and fresh else schema or fresh
+    if wider is not None and wider != schema:
+        line = {"version": version + 1, "number": len(wider.fields), "schema": wider.jsonValue()}
+        _keep(spark, [json.dumps(line)], store)
+    return wider
 
-    Only files that no call has looked at are read for it, whatever their time; the list of
-    the others is kept at ``store`` with "-files" behind it. Read are footers of Parquet files,
-    merged; the rows of JSON files, single values as text; the header of a CSV file. A CSV
-    file whose header differs from the schema fails the ingest, which then has not taken it;
-    nothing is read by position.
+
+def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """CSV files by their header line; files without any line are left out.
+
+    Only first lines leave the tasks: one for each of the files, of which a batch has a
+    bounded number.
     """
-    schema, version = _stored(spark, store)
-    try:
-        batches = _new_files(spark, raw_path, f"{store}-files")
-        for paths in batches:
-            fresh = None if fmt == "csv" and schema is not None else _schema_of(spark, raw_path, paths, fmt)
-            wider = widened(schema, fresh) if schema and fresh else schema or fresh
-            if wider is None:
-                continue
-            if wider != schema:
-                schema, version = wider, version + 1
-                line = {"version": version, "number": len(schema.fields), "schema": schema.jsonValue()}
-                _keep(spark, [json.dumps(line)], store)
-            # Only now: a file counts as looked at when its columns are kept.
-            _keep(spark, [json.dumps({"path": path}) for path in paths], f"{store}-files")
-    except AnalysisException as error:
-        if error.getCondition() not in NO_DATA:
-            raise
-        return None if error.getCondition() == "PATH_NOT_FOUND" else schema
-    return schema
+    lines = spark.read.text([literal(path) for path in paths]).where("trim(value) <> ''")
+    lines = lines.select("_metadata.file_path", "_metadata.file_block_start", "value", F.monotonically_increasing_id().alias("at"))
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.collect():
+        groups.setdefault(row.header.strip("\ufeff\r"), []).append(unquote(row.file_path))
+    return [sorted(found) for _, found in sorted(groups.items())]
+
+
+def _csv_group(spark: SparkSession, raw_path: str, paths: list[str], known: T.StructType | None) -> DataFrame:
+    """Files of one header, by its names. Known columns keep their spelling; columns from folder names are text."""
+    base = base_of(raw_path)
+    names = read_files(spark, [literal(paths[0])], "csv", base=base).columns
+    spelled = {f.name.lower(): f for f in known.fields} if known else {}
+    fields = [spelled.get(name.lower(), T.StructField(name, T.StringType())) for name in names]
+    # All these files have the same header, so reading by position reads by name.
+    reader = spark.read.format("csv").schema(T.StructType(fields)).option("header", True).option("enforceSchema", True)
+    reader = reader.option("basePath", base) if base is not None else reader
+    return reader.load([literal(path) for path in paths])
+
+
+def read_feed_files(
+    spark: SparkSession, raw_path: str, paths: list[str], fmt: str, store: str | None, schema: str | None = None
+) -> DataFrame | None:
+    """The rows of some of a feed's files, by column names; None if they hold nothing.
+
+    Without ``schema`` they have all columns that the feed has had so far, kept at ``store``,
+    which the columns of these files widen first: footers of Parquet files, merged; the
+    rows of JSON files, single values as text; the headers of CSV files, of which every one may
+    have its own. Columns that a file lacks are NULL.
+    """
+    if fmt != "csv":
+        wanted = schema or keep_wider(spark, store, _schema_of(spark, raw_path, paths, fmt))
+        if wanted is None:
+            return None
+        return read_files(spark, [literal(path) for path in paths], fmt, schema=wanted, base=base_of(raw_path))
+    known = T.StructType.fromDDL(schema) if schema else stored_schema(spark, store)
+    groups = [_csv_group(spark, raw_path, group, known) for group in header_groups(spark, paths)]
+    if not groups:
+        return None
+    if schema is None:
+        fresh = groups[0].schema
+        for frame in groups[1:]:
+            fresh = widened(fresh, frame.schema)
+        known = keep_wider(spark, store, fresh)
+    every = union_sources(groups)
+    return every.select([F.col(f.name) if f.name in every.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in known.fields])

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from stratamill.operators.lineage import stamp
-from stratamill.streaming.feed_schema import feed_schema
+from stratamill.sources.batches import add_batch, token_of
+from stratamill.sources.files import NO_DATA
+from stratamill.streaming.feed_schema import read_feed_files, stored_schema
+
+# The columns of Spark's file listing as a stream; only the paths are read.
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest_available(
@@ -22,31 +28,35 @@ def ingest_available(
 ) -> bool:
     """Process every file the checkpoint has not seen, then stop.
 
-    Returns False when there is no feed yet. The checkpoint and the sink's own
-    log record what was committed, so a rerun, or a restart after a crash,
-    neither skips nor repeats a file. The Bronze path belongs to this stream
-    alone: readers trust the sink's log and would not see files added past it.
+    Returns False when there is no feed yet. The stream is one of file paths: the
+    checkpoint says which files belong to which batch, and a batch is added to Bronze
+    once, so a rerun, or a restart after a crash, neither skips nor repeats a file.
     Duplicates between files are left to Silver, which needs no stream state.
 
-    Without ``schema`` the feed's own is used, kept beside the checkpoint and
-    widened by the columns of new files, so that one which only some files
-    have arrives, and old files are never read again for it.
+    Without ``schema`` the feed's own is used, kept beside the checkpoint and widened
+    by exactly the files of a batch before they are read, so that a column arrives
+    which only some files have, in any format, and old files are never read again for it.
     """
-    if schema is None:
-        schema = feed_schema(spark, raw_path, fmt, f"{checkpoint}-schema")
-        if schema is None:
-            return False
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
-    stamped = stamp(reader.load(raw_path), source, cloud)
-    query = (
-        stamped.writeStream.format("parquet")
-        .partitionBy("_date_part")
-        .option("checkpointLocation", checkpoint)
-        .option("path", bronze_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    store = f"{checkpoint}-schema"
+
+    def take(listed: DataFrame, batch_id: int) -> None:
+        paths = sorted(row.path for row in listed.select("path").collect())
+        rows = read_feed_files(spark, raw_path, paths, fmt, store, schema) if paths else None
+        if rows is not None:
+            add_batch(stamp(rows, source, cloud), bronze_path, token_of(paths))
+
+    reader = spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", True)
+    try:
+        listed = reader.option("maxFilesPerTrigger", max_files_per_batch).load(raw_path).select("path")
+        query = (
+            listed.writeStream.foreachBatch(take)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    except AnalysisException as error:
+        if error.getCondition() not in NO_DATA:
+            raise
+        return False
     query.awaitTermination()
-    return True
+    return schema is not None or stored_schema(spark, store) is not None
