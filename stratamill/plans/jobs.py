@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -17,11 +18,12 @@ from stratamill.operators.lineage import stamp
 from stratamill.operators.quality import parity
 from stratamill.plans import checks
 from stratamill.plans.gold import customer_rfm, daily_revenue, product_performance
-from stratamill.plans.maintenance import LayoutTask, maintain
+from stratamill.plans.maintenance import TARGET_FILE_BYTES, LayoutTask, maintain
 from stratamill.plans.marts import mart_revenue_by_cloud, stg_transactions
 from stratamill.plans.silver import silver_table
 from stratamill.sinks.published import (
     live_directories,
+    live_marks,
     publish,
     read_directories,
     read_published,
@@ -29,10 +31,11 @@ from stratamill.sinks.published import (
     stage_upsert,
 )
 from stratamill.sinks.replicate import replicate_directories
-from stratamill.sources.bronze import append_bronze, read_all_bronze
+from stratamill.sources.batches import add_batch, compact_days
+from stratamill.sources.bronze import read_all_bronze, unmerged_bronze
 from stratamill.sources.files import read_new_files
 from stratamill.sources.serving import as_view, serve
-from stratamill.streaming.feed_schema import stored_schema
+from stratamill.streaming.feed_schema import as_text, keep_wider, stored_schema
 from stratamill.streaming.ingest import ingest_available
 
 logger = logging.getLogger(__name__)
@@ -62,13 +65,19 @@ class Lake:
 def ingest_full(
     spark: SparkSession, lake: Lake, cloud: str, contract: TableContract, run_ts: RunTime = None, since=None
 ) -> bool:
-    """Append a feed to Bronze as one batch: all its files, or those modified after ``since``."""
+    """Add a feed to Bronze as one batch: all its files, or those modified after ``since``.
+
+    As with the stream, single values of JSON are text, and the columns are kept beside.
+    """
     feed = f"{lake.raw[cloud]}/{contract.name}"
     rows = read_new_files(spark, feed, contract.feed_format, since=since)
     if rows is None:
         logger.info("no new files for %s from %s", contract.name, cloud)
         return False
-    append_bronze(stamp(rows, feed, cloud, run_ts=run_ts), lake.full_of(cloud, contract.name))
+    if contract.feed_format == "json":
+        rows = read_new_files(spark, feed, "json", since=since, schema=as_text(rows.schema))
+    keep_wider(spark, f"{lake.bronze[cloud]}/checkpoints/{contract.name}-full-schema", rows.schema)
+    add_batch(stamp(rows, feed, cloud, run_ts=run_ts), lake.full_of(cloud, contract.name), uuid.uuid4().hex)
     return True
 
 
@@ -88,14 +97,15 @@ def ingest_incremental(spark: SparkSession, lake: Lake, cloud: str, contract: Ta
 
 
 def _stored_schemas(spark: SparkSession, lake: Lake, table: str) -> dict[str, T.StructType]:
-    """By source, the columns of what was streamed into Bronze, so that no footer of its history is read."""
+    """By source, the columns of what was ingested into Bronze, so that no footer of its history is read."""
     lineage = [T.StructField(c, T.TimestampType() if c == "_ingested_at" else T.StringType()) for c in LINEAGE_COLUMNS]
     found = {}
     for cloud, base in lake.bronze.items():
-        feed = stored_schema(spark, f"{base}/checkpoints/{table}-schema")
-        if feed is not None:
-            own = [f for f in lineage if f.name != "_date_part"] + [T.StructField("_date_part", T.DateType())]
-            found[cloud] = T.StructType([*feed.fields, *own])
+        for source, store in ((cloud, f"{table}-schema"), (f"{cloud} (full)", f"{table}-full-schema")):
+            feed = stored_schema(spark, f"{base}/checkpoints/{store}")
+            if feed is not None:
+                own = [f for f in lineage if f.name != "_date_part"] + [T.StructField("_date_part", T.DateType())]
+                found[source] = T.StructType([*feed.fields, *own])
     return found
 
 
@@ -110,16 +120,22 @@ def silver_job(
     *,
     tables: Sequence[str] = tuple(CONTRACTS),
     since: dt.date | None = None,
+    everything: bool = False,
     order_by: str | None = None,
     run_ts: RunTime = None,
     gate: bool = True,
 ) -> None:
     """Unite, deduplicate, cleanse and merge each table.
 
-    ``since`` takes only the Bronze rows ingested from that day on. Provided
-    every earlier day has been merged, the result is that of reading all of
-    Bronze: the latest row of a key is in the last day that has the key, and
-    merging never deletes. The cost then follows the news, not the history.
+    Every published version carries, by source, the newest ingest batch that is merged
+    into it, in the same list as its directories. Only batches behind that are read, and
+    a run that dies before it publishes has merged nothing, so none is merged twice and
+    none is left out. The result is that of reading all of Bronze: the latest row of a key
+    is in the last batch that has the key, and merging never deletes. The cost then
+    follows the news, not the history. Without news there is no new version.
+
+    ``since`` takes the Bronze rows ingested from that day on instead, merged before or
+    not; ``everything`` takes all.
 
     The merge is written and, with ``gate``, what it wrote is checked before it
     is published. That covers uniqueness too: the directories it leaves alone
@@ -128,7 +144,13 @@ def silver_job(
     for name in tables:
         contract = CONTRACTS[name]
         root = f"{lake.silver}/{name}"
-        bronze = read_all_bronze(spark, lake.bronze_of(name), contract, _stored_schemas(spark, lake, name), since)
+        merged = {} if everything else live_marks(spark, root)
+        bronze, marks = unmerged_bronze(
+            spark, lake.bronze_of(name), contract, _stored_schemas(spark, lake, name), since, merged
+        )
+        if bronze is None:
+            logger.info("nothing new for %s", name)
+            continue
         batch = silver_table(bronze, contract, run_ts=run_ts)
         before = live_directories(spark, root)
         directories = stage_upsert(batch, root, contract.key, contract.partition_by, order_by)
@@ -136,7 +158,7 @@ def silver_job(
         if gate and changed and contract is TRANSACTIONS:
             staged = stg_transactions(read_directories(spark, root, changed, like=directories))
             checks.enforce(checks.staging_checks(staged, tuple(lake.bronze)), checks.staging_key_check(staged))
-        publish(spark, root, directories)
+        publish(spark, root, directories, marks)
 
 
 def read_silver(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
@@ -181,6 +203,28 @@ def mart_job(spark: SparkSession, lake: Lake, *, run_ts: RunTime = None, gate: b
     publish(spark, root, directories)
 
 
+def upkeep_job(spark: SparkSession, lake: Lake, before: dt.date | None = None) -> dict[str, int]:
+    """Compact Bronze days that the ingest adds nothing to any more: those before ``before``, by default today.
+
+    Returns the directories replaced by table and source. One failure does not stop the
+    others, and all are raised at the end.
+    """
+    before = before or dt.datetime.now(dt.timezone.utc).date()
+    replaced, failed = {}, []
+    for table in CONTRACTS:
+        schemas = _stored_schemas(spark, lake, table)
+        for source, root in lake.bronze_of(table).items():
+            label = f"bronze-{table}-{source}"
+            try:
+                replaced[label] = compact_days(spark, root, before, TARGET_FILE_BYTES, schemas.get(source))
+            except Exception:  # each table stands alone; the sweep reports all failures together
+                logger.exception("upkeep of %s failed", label)
+                failed.append(label)
+    if failed:
+        raise RuntimeError(f"upkeep failed for: {failed}")
+    return {label: count for label, count in replaced.items() if count}
+
+
 def layout_job(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Cluster the Silver and Gold tables."""
     primary = next(iter(lake.gold.values()))
@@ -235,7 +279,7 @@ def parity_job(
     tolerance: float = 0.05,
 ) -> DataFrame:
     """Row counts of the Bronze sources against each other, over all ingest days or those from ``since`` on."""
-    bronze = read_all_bronze(spark, lake.bronze_of(table), CONTRACTS[table], since=since)
+    bronze = read_all_bronze(spark, lake.bronze_of(table), CONTRACTS[table], _stored_schemas(spark, lake, table), since)
     return parity(bronze, f"bronze_{table}", tuple(lake.bronze), tolerance=tolerance)
 
 
@@ -248,15 +292,16 @@ def daily_run(
     run_ts: RunTime = None,
     gate: bool = True,
 ) -> dict[str, dict[str, str]]:
-    """Bronze, Silver, Gold, mart, layout, source parity, in this order; returns the Gold statuses.
+    """Bronze, Silver, Gold, mart, upkeep, layout, source parity, in this order; returns the Gold statuses.
 
-    ``since`` limits the Silver merge to the ingest days not yet merged.
+    The Silver merge takes the ingest batches not yet merged, or with ``since`` all from that day on.
     """
     for cloud in lake.raw:
         ingest_source(spark, lake, cloud)
     silver_job(spark, lake, since=since, run_ts=run_ts, gate=gate)
     statuses = gold_job(spark, lake, as_of=as_of, run_ts=run_ts, gate=gate)
     mart_job(spark, lake, run_ts=run_ts, gate=gate)
+    upkeep_job(spark, lake)
     layout_job(spark, lake)
     result = parity_job(spark, lake, since=since).first()
     if result.status != "pass":

@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from stratamill.plans import jobs
 from stratamill.session import build_session
 
-JOBS = ("ingest", "silver", "gold", "mart", "layout", "quality", "parity", "daily")
+JOBS = ("ingest", "silver", "gold", "mart", "upkeep", "layout", "quality", "parity", "daily")
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -25,6 +25,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--source", help="ingest: one source label instead of all")
     parser.add_argument("--since", type=dt.date.fromisoformat, help="silver, parity, daily: first ingest day to take")
+    parser.add_argument("--everything", action="store_true", help="silver: all batches, merged before or not")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="gold, daily: the reporting day")
     parser.add_argument("--no-gate", action="store_true", help="publish without checks")
     return parser.parse_args(argv)
@@ -38,11 +39,13 @@ def run(spark: SparkSession, lake: jobs.Lake, args: argparse.Namespace):
             sources = [args.source] if args.source else list(lake.raw)
             return {source: jobs.ingest_source(spark, lake, source) for source in sources}
         case "silver":
-            return jobs.silver_job(spark, lake, since=args.since, gate=gate)
+            return jobs.silver_job(spark, lake, since=args.since, everything=args.everything, gate=gate)
         case "gold":
             return jobs.gold_job(spark, lake, as_of=args.as_of, gate=gate)
         case "mart":
             return jobs.mart_job(spark, lake, gate=gate)
+        case "upkeep":
+            return jobs.upkeep_job(spark, lake)
         case "layout":
             return jobs.layout_job(spark, lake)
         case "quality":

@@ -6,6 +6,9 @@ therefore looks like this::
     root/snapshot=<id>/...        data, written once, never changed
     root/published/version=<n>-<id>    text: the live directories, one per line
 
+A line that begins with ``#`` is a mark: a name and a number that become visible together
+with the directories, such as how much of a source is merged into them.
+
 A directory is ``snapshot=<id>`` or, for a partitioned table, one partition in
 it, so the list grows with the number of partitions, not with the rows. Data is
 written first, may be checked, and becomes visible when its version is
@@ -16,7 +19,7 @@ has one writer at a time.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,12 +58,22 @@ def current_version(spark: SparkSession, root: str) -> int:
     return _newest_list(spark, root)[0]
 
 
-def live_directories(spark: SparkSession, root: str) -> list[str]:
-    """The live directories, relative to ``root``; empty for a table that does not exist."""
+def _lines(spark: SparkSession, root: str) -> list[str]:
     _, path = _newest_list(spark, root)
     return sorted(row.value for row in spark.read.text(path).collect()) if path else []
 
 
+def live_directories(spark: SparkSession, root: str) -> list[str]:
+    """The live directories, relative to ``root``; empty for a table that does not exist."""
+    return [line for line in _lines(spark, root) if not line.startswith("#")]
+
+
+def live_marks(spark: SparkSession, root: str) -> dict[str, int]:
+    """The marks of the live version."""
+    marks = (line[1:].rsplit("=", 1) for line in _lines(spark, root) if line.startswith("#"))
+    return {name: int(number) for name, number in marks}
+
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's name for it
 
 
@@ -122,11 +135,18 @@ def list_files(spark: SparkSession, root: str, directories: Sequence[str]) -> Da
     return files.select(directory_of(F.col("path")).alias("directory"), "path", "length")
 
 
-def publish(spark: SparkSession, root: str, directories: Sequence[str]) -> int:
-    """Make exactly these directories the live state; returns the new version."""
+def publish(
+    spark: SparkSession, root: str, directories: Sequence[str], marks: Mapping[str, int] | None = None
+) -> int:
+    """Make exactly these directories the live state; returns the new version.
+
+    Without ``marks`` the version keeps those of the one before.
+    """
+    marks = live_marks(spark, root) if marks is None else marks
     version = current_version(spark, root) + 1
-    lines = spark.createDataFrame([(d,) for d in directories], "value string")
-    lines.coalesce(1).write.mode("error").text(f"{root}/published/version={version}-{uuid.uuid4().hex}")
+    lines = [*directories, *[f"#{name}={number}" for name, number in sorted(marks.items())]]
+    frame = spark.createDataFrame([(line,) for line in lines], "value string")
+    frame.coalesce(1).write.mode("error").text(f"{root}/published/version={version}-{uuid.uuid4().hex}")
     return version
 
 
