@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.functions.days import RunTime, micros_between, run_time
@@ -73,6 +73,39 @@ def profile(df: DataFrame, model: str, rules: Sequence[RowRule]) -> DataFrame:
     return counted.select(F.inline(F.array(*lines)))
 
 
+REPORT = "model string, check string, column_name string, violations bigint, status string"
+
+
+class Observed:
+    """Row rules counted, and totals taken, while an action runs over a model's ``rows``.
+
+    No pass of its own is needed. Results are there after the first action over ``rows``;
+    asking earlier waits for it.
+    """
+
+    def __init__(self, df: DataFrame, model: str, rules: Sequence[RowRule] = (), **totals: Column):
+        self.model, self.rules, self._spark = model, list(rules), df.sparkSession
+        self._observation = Observation()
+        counts = [F.count_if(rule.broken).alias(f"v{i}") for i, rule in enumerate(self.rules)]
+        metrics = [*counts, *[value.alias(name) for name, value in totals.items()]]
+        self.rows = df.observe(self._observation, *metrics) if metrics else df
+
+    def total(self, name: str) -> int | None:
+        """A total; None over no rows."""
+        return self._observation.get.get(name)
+
+    def report(self) -> DataFrame:
+        """A line per rule, as :func:`profile` gives."""
+        counts = [self.total(f"v{i}") or 0 for i in range(len(self.rules))]
+        return report(self._spark, self.model, [(r.check, r.column, n) for r, n in zip(self.rules, counts, strict=True)])
+
+
+def report(spark: SparkSession, model: str, lines: Sequence[tuple[str, str, int]]) -> DataFrame:
+    """Report lines from check, column and violations."""
+    rows = [(model, check, column, n, "pass" if n == 0 else "fail") for check, column, n in lines]
+    return spark.createDataFrame(rows, REPORT)
+
+
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
     """Non-null values that occur more than once, with their row counts."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))

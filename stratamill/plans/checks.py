@@ -5,13 +5,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.contracts import CLOUDS, TRANSACTIONS
 from stratamill.functions.days import RunTime
 from stratamill.operators.combine import union_sources
 from stratamill.operators.quality import (
+    Observed,
+    RowRule,
     conservation,
     contract_rules,
     freshness,
@@ -19,17 +21,61 @@ from stratamill.operators.quality import (
     not_null,
     one_of,
     profile,
+    report,
     unique,
 )
 from stratamill.plans.gold import CHURNED, SEGMENT_UP_TO_DAYS
+from stratamill.plans.marts import is_staged
 
 logger = logging.getLogger(__name__)
 
+HOUR = 3_600_000_000
+WARN_AGE, ERROR_AGE = 6 * HOUR, 24 * HOUR
+
+
 
 class QualityError(RuntimeError):
     """A model broke its checks and was not published."""
 
 
+def mart_rules() -> list[RowRule]:
+    return [in_range("total_revenue", low=0), in_range("completion_rate_pct", low=0, high=100)]
+
+
+def daily_rules() -> list[RowRule]:
+    return [in_range("total_revenue", low=0)]
+
+
+def rfm_rules() -> list[RowRule]:
+    return [one_of("rfm_segment", (*SEGMENT_UP_TO_DAYS, CHURNED))]
+
+
+def observed_transactions(batch: DataFrame, clouds: Sequence[str]) -> Observed:
+    """Incoming Silver transactions, checked as they are written: the staging rules on the rows
+    that will be staged, the declared types on all; and ``newest``, when the last one was ingested."""
+    staged = [not_null("transaction_id"), not_null("customer_id"), in_range("amount", low=0), one_of("_cloud", clouds)]
+    names = {"_cloud": "source_cloud"}
+    rules = [RowRule(r.check, names.get(r.column, r.column), is_staged() & r.broken) for r in staged]
+    rules += contract_rules(batch, TRANSACTIONS.columns)
+    return Observed(batch, "stg_transactions", rules, newest=F.max(F.unix_micros("_ingested_at")))
+
+
+def freshness_of(spark: SparkSession, newest: int | None, now: int) -> DataFrame:
+    """Whether the newest row, ingested at ``newest`` (microseconds), is less than a day old at ``now``."""
+    age = None if newest is None else now - newest
+    if age is not None and WARN_AGE < age <= ERROR_AGE:
+        logger.warning("the newest transaction was ingested %.1f hours ago", age / HOUR)
+    stale = age is None or age > ERROR_AGE
+    return report(spark, "silver_transactions", [("freshness", "_ingested_at", int(stale))])
+
+
+def conservation_of(observed: Observed, column: str, n_rows: int) -> DataFrame:
+    """An observed model's counts, totalled under ``total``, add up to the rows it was built from."""
+    total = observed.total("total") or 0
+    lines = [("conservation", column, abs(total - n_rows))]
+    return report(observed.rows.sparkSession, observed.model, lines)
+
+
 def staging_checks(staged: DataFrame, clouds: Sequence[str] = CLOUDS) -> DataFrame:
     """Row rules of the staged transactions, from the sources ``clouds``."""
     return profile(
@@ -51,21 +97,17 @@ def staging_key_check(staged: DataFrame) -> DataFrame:
 
 def mart_checks(mart: DataFrame) -> DataFrame:
     """Row rules of the revenue mart."""
-    return profile(
-        mart,
-        "mart_revenue_by_cloud",
-        [in_range("total_revenue", low=0), in_range("completion_rate_pct", low=0, high=100)],
-    )
+    return profile(mart, "mart_revenue_by_cloud", mart_rules())
 
 
 def daily_checks(daily: DataFrame) -> DataFrame:
     """Row rules of the daily revenue model."""
-    return profile(daily, "daily_revenue", [in_range("total_revenue", low=0)])
+    return profile(daily, "daily_revenue", daily_rules())
 
 
 def rfm_checks(rfm: DataFrame) -> DataFrame:
     """Row rules of the customer model."""
-    return profile(rfm, "customer_rfm", [one_of("rfm_segment", (*SEGMENT_UP_TO_DAYS, CHURNED))])
+    return profile(rfm, "customer_rfm", rfm_rules())
 
 
 def transaction_contract_checks(raw: DataFrame) -> DataFrame:

@@ -9,13 +9,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamill.contracts import CONTRACTS, CUSTOMERS, GOLD_CLUSTER_BY, LINEAGE_COLUMNS, PRODUCTS, TRANSACTIONS, TableContract
 from stratamill.functions.days import AsOf, RunTime
 from stratamill.operators.combine import union_sources
 from stratamill.operators.lineage import stamp
-from stratamill.operators.quality import parity
+from stratamill.operators.quality import Observed, parity
 from stratamill.plans import checks
 from stratamill.plans.gold import customer_rfm, daily_revenue, product_performance
 from stratamill.plans.maintenance import TARGET_FILE_BYTES, LayoutTask, maintain
@@ -40,6 +41,9 @@ from stratamill.streaming.ingest import ingest_available
 
 logger = logging.getLogger(__name__)
 
+# The mark that tells when the newest row was ingested, in microseconds; no source has such a name.
+NEWEST = "@newest"
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -137,9 +141,10 @@ def silver_job(
     ``since`` takes the Bronze rows ingested from that day on instead, merged before or
     not; ``everything`` takes all.
 
-    The merge is written and, with ``gate``, what it wrote is checked before it
-    is published. That covers uniqueness too: the directories it leaves alone
-    hold none of the incoming keys. :func:`quality_job` checks whole tables.
+    The merge is written and, with ``gate``, checked before it is published: row rules are
+    counted while the incoming rows are written, and the directories written are read for
+    uniqueness alone (the others hold none of the incoming keys). :func:`quality_job`
+    checks whole tables.
     """
     for name in tables:
         contract = CONTRACTS[name]
@@ -152,15 +157,30 @@ def silver_job(
             logger.info("nothing new for %s", name)
             continue
         batch = silver_table(bronze, contract, run_ts=run_ts)
+        observed = checks.observed_transactions(batch, tuple(lake.bronze)) if contract is TRANSACTIONS else None
         before = live_directories(spark, root)
-        directories = stage_upsert(batch, root, contract.key, contract.partition_by, order_by)
+        rows = batch if observed is None else observed.rows
+        directories = stage_upsert(rows, root, contract.key, contract.partition_by, order_by)
         changed = sorted(set(directories) - set(before))
-        if gate and changed and contract is TRANSACTIONS:
+        if gate and changed and observed is not None:
             staged = stg_transactions(read_directories(spark, root, changed, like=directories))
-            checks.enforce(checks.staging_checks(staged, tuple(lake.bronze)), checks.staging_key_check(staged))
+            checks.enforce(observed.report(), checks.staging_key_check(staged))
+        if observed is not None:
+            newest = [n for n in (live_marks(spark, root).get(NEWEST), observed.total("newest")) if n is not None]
+            marks |= {NEWEST: max(newest)} if newest else {}
         publish(spark, root, directories, marks)
 
 
+def freshness_gate(spark: SparkSession, lake: Lake) -> None:
+    """Raise unless the newest Silver transaction was ingested less than a day ago.
+
+    Its time is a mark of the published version, so that nothing is read.
+    """
+    newest = live_marks(spark, f"{lake.silver}/transactions").get(NEWEST)
+    now = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
+    checks.enforce(checks.freshness_of(spark, newest, now))
+
+
 def read_silver(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """One Silver table."""
     return read_published(spark, f"{lake.silver}/{table}")
@@ -171,35 +191,51 @@ def gold_job(
 ) -> dict[str, dict[str, str]]:
     """Build the three models and publish each to all targets; returns the status per target.
 
-    Each model is computed once, into the primary target; the checks and
-    the copies read what was written. The models read different columns of the
-    transactions and group them by different keys, so each scans the columns
-    it needs rather than a cached copy of the whole.
+    Each model is computed once, into the primary target; its checks are counted
+    while it is written, and the copies read what was written. Its counts have to add up to
+    the transactions, so that a join which repeated some is stopped. The models read
+    different columns of the transactions and group them by different keys, so each scans the
+    columns it needs rather than a cached copy of the whole.
     """
     transactions, customers, products = (
         read_silver(spark, lake, c.name) for c in (TRANSACTIONS, CUSTOMERS, PRODUCTS)
     )
-    models = {
-        "daily_revenue": (daily_revenue(transactions, customers, products, run_ts=run_ts), checks.daily_checks),
-        "customer_rfm": (customer_rfm(transactions, customers, as_of=as_of, run_ts=run_ts), checks.rfm_checks),
-        "product_performance": (product_performance(transactions, products, run_ts=run_ts), None),
-    }
+    models = [
+        Observed(
+            daily_revenue(transactions, customers, products, run_ts=run_ts),
+            "daily_revenue",
+            checks.daily_rules(),
+            total=F.sum("total_transactions"),
+        ),
+        Observed(
+            customer_rfm(transactions, customers, as_of=as_of, run_ts=run_ts), "customer_rfm", checks.rfm_rules()
+        ),
+        Observed(
+            product_performance(transactions, products, run_ts=run_ts), "product_performance", total=F.sum("units_sold")
+        ),
+    ]
+    counted = {"daily_revenue": "total_transactions", "product_performance": "units_sold"}
+    n_rows = transactions.count() if gate else 0
     primary = next(iter(lake.gold.values()))
     statuses = {}
-    for name, (frame, check) in models.items():
-        directories = stage(frame, f"{primary}/{name}")
-        if gate and check is not None:
-            checks.enforce(check(read_directories(spark, f"{primary}/{name}", directories)))
-        statuses[name] = replicate_directories(spark, name, directories, lake.gold)
+    for observed in models:
+        directories = stage(observed.rows, f"{primary}/{observed.model}")
+        if gate:
+            column = counted.get(observed.model)
+            sums = [checks.conservation_of(observed, column, n_rows)] if column else []
+            checks.enforce(*[observed.report()] * bool(observed.rules), *sums)
+        statuses[observed.model] = replicate_directories(spark, observed.model, directories, lake.gold)
     return statuses
 
 
 def mart_job(spark: SparkSession, lake: Lake, *, run_ts: RunTime = None, gate: bool = True) -> None:
     """Build the revenue mart from the staging view and publish it."""
     root = f"{lake.marts}/mart_revenue_by_cloud"
-    directories = stage(mart_revenue_by_cloud(stg_transactions(read_silver(spark, lake, "transactions")), run_ts=run_ts), root)
+    mart = mart_revenue_by_cloud(stg_transactions(read_silver(spark, lake, "transactions")), run_ts=run_ts)
+    observed = Observed(mart, "mart_revenue_by_cloud", checks.mart_rules())
+    directories = stage(observed.rows, root)
     if gate:
-        checks.enforce(checks.mart_checks(read_directories(spark, root, directories)))
+        checks.enforce(observed.report())
     publish(spark, root, directories)
 
 
@@ -299,6 +335,8 @@ def daily_run(
     for cloud in lake.raw:
         ingest_source(spark, lake, cloud)
     silver_job(spark, lake, since=since, run_ts=run_ts, gate=gate)
+    if gate:
+        freshness_gate(spark, lake)
     statuses = gold_job(spark, lake, as_of=as_of, run_ts=run_ts, gate=gate)
     mart_job(spark, lake, run_ts=run_ts, gate=gate)
     upkeep_job(spark, lake)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamill.functions.days import AsOf, RunTime, as_of_day, run_time
@@ -13,15 +13,15 @@ COMPLETED = "completed"
 REPORT_DAYS = 30
 
 
-def stg_transactions(silver: DataFrame) -> DataFrame:
-    """Valid Silver transactions under reporting names, amounts as exact decimals.
+def is_staged() -> Column:
+    """Whether a Silver transaction is valid: an amount that the exact decimal cannot hold is not."""
+    amount = F.col("amount").try_cast("decimal(18,2)")
+    return F.col("transaction_id").isNotNull() & (amount > 0) & F.col("txn_date").isNotNull()
 
-    An amount that the decimal cannot hold is not valid.
-    """
-    exact = silver.withColumn("amount", F.col("amount").try_cast("decimal(18,2)"))
-    valid = exact.filter(
-        F.col("transaction_id").isNotNull() & (F.col("amount") > 0) & F.col("txn_date").isNotNull()
-    )
+
+def stg_transactions(silver: DataFrame) -> DataFrame:
+    """Valid Silver transactions under reporting names, amounts as exact decimals."""
+    valid = silver.filter(is_staged()).withColumn("amount", F.col("amount").try_cast("decimal(18,2)"))
     return valid.select(
         "transaction_id",
         "customer_id",

@@ -1,0 +1,69 @@
+"""Checks counted while tables are written, and runs that they stop."""
+
+import pytest
+from pyspark.sql import functions as F
+from test_jobs import TODAY, first_day, lake  # noqa: F401
+
+from stratamill.operators.quality import Observed, in_range, not_null, profile
+from stratamill.plans import checks, jobs
+from stratamill.plans.checks import QualityError
+from stratamill.sinks.published import current_version, live_directories, live_marks, publish, replace_published
+
+
+def test_observed_rules_equal_a_pass_of_their_own(spark, folder):
+    df = spark.createDataFrame([("a", 1.0), (None, -1.0), ("c", None), (None, 200.0)], "k string, v double")
+    rules = [not_null("k"), in_range("v", low=0, high=100)]
+    observed = Observed(df, "m", rules, total=F.sum("v"))
+    observed.rows.write.parquet(f"{folder}/m")
+    assert observed.report().collect() == profile(df, "m", rules).collect()
+    assert observed.total("total") == 200.0
+
+
+def test_observed_over_no_rows(spark, folder):
+    observed = Observed(spark.createDataFrame([], "k string").where("k = 'x'"), "m", [not_null("k")], total=F.count("k"))
+    observed.rows.write.parquet(f"{folder}/m")
+    assert [r.status for r in observed.report().collect()] == ["pass"] and not observed.total("total")
+
+
+def test_gates_read_no_table_again_for_row_rules(spark, lake, monkeypatch):  # noqa: F811
+    first_day(spark, lake)
+    for name in ("staging_checks", "daily_checks", "rfm_checks", "mart_checks", "conservation_check"):
+        monkeypatch.setattr(checks, name, lambda *_, own=name: pytest.fail(own))
+    jobs.daily_run(spark, lake, as_of=TODAY)
+
+
+def test_a_repeated_product_stops_the_run(spark, lake):  # noqa: F811
+    first_day(spark, lake)
+    for cloud in lake.raw:
+        jobs.ingest_source(spark, lake, cloud)
+    jobs.silver_job(spark, lake)
+    products = jobs.read_silver(spark, lake, "products")
+    replace_published(products.union(products), f"{lake.silver}/products")
+    with pytest.raises(QualityError, match="conservation"):
+        jobs.gold_job(spark, lake, as_of=TODAY)
+    assert current_version(spark, f"{lake.gold['main']}/daily_revenue") == 0
+    jobs.gold_job(spark, lake, as_of=TODAY, gate=False)
+
+
+def test_a_stale_silver_stops_the_run(spark, lake):  # noqa: F811
+    first_day(spark, lake)
+    jobs.daily_run(spark, lake, as_of=TODAY)
+    root = f"{lake.silver}/transactions"
+    version = current_version(spark, f"{lake.gold['main']}/daily_revenue")
+    marks = live_marks(spark, root)
+    publish(spark, root, live_directories(spark, root), marks | {jobs.NEWEST: marks[jobs.NEWEST] - 25 * checks.HOUR})
+    with pytest.raises(QualityError, match="freshness"):
+        jobs.daily_run(spark, lake, as_of=TODAY)
+    assert current_version(spark, f"{lake.gold['main']}/daily_revenue") == version
+    publish(spark, root, live_directories(spark, root), marks | {jobs.NEWEST: marks[jobs.NEWEST] - 7 * checks.HOUR})
+    jobs.freshness_gate(spark, lake)  # warns only
+
+
+def test_wrong_source_label_stops_the_merge(spark, lake, monkeypatch):  # noqa: F811
+    first_day(spark, lake)
+    jobs.ingest_source(spark, lake, "aws")
+    observed = checks.observed_transactions
+    monkeypatch.setattr(checks, "observed_transactions", lambda batch, clouds: observed(batch, ("gcp",)))
+    with pytest.raises(QualityError, match="source_cloud accepted_values: 2"):
+        jobs.silver_job(spark, lake, tables=["transactions"])
+    assert current_version(spark, f"{lake.silver}/transactions") == 0
