@@ -8,9 +8,11 @@
    (``SAMPLE_VECTORS``); a node without a sample of its own splits at its level's median.
    The depth follows the number of vectors, so that leaves keep their size.
 3. *Leaves* hold vectors of one label. Those above ``BLOCK`` vectors are dealt into
-   blocks, and every two blocks of a leaf are compared as a task of their own: memory is
+   blocks, and every two blocks of a leaf are compared as a group of their own: memory is
    that of two blocks, and a leaf of near copies that no split can part loses no pair.
-4. *Verification* by cosine in double precision, union over the trees, components.
+4. *Verification* by cosine in double precision. Links are counted where two vectors meet
+   first, and what leaves a group is a row per vector: its count, and one vector that
+   it hangs together with. Counts are added, components found over these rows.
 
 Two unit vectors of cosine 0.98 lie at most 0.2 apart; a split parts them only if their
 projections differ by more than 2 x ``SPILL``, over three deviations in 64 dimensions.
@@ -43,6 +45,8 @@ SPILL = 0.04
 LEAF = 2048
 BLOCK = 2048
 SAMPLE_VECTORS = 20_000
+# Rows placed, and vectors compared with a block, at a time.
+PLACED_ROWS, SLICE = 2048, 256
 SAMPLE_NODE = 64
 # A spilling split leaves about this share of a node's vectors on either side.
 _SHARE = 0.62
@@ -114,70 +118,162 @@ def fit_trees(classes: DataFrame, trees: int) -> dict[int, list[Tree]]:
 
 
 def placed_vectors(classes: DataFrame, forest: dict[int, list[Tree]], id_type: str) -> DataFrame:
-    """A row per class and leaf it is in: tree, dim, label, leaf, node, vector."""
+    """A row per class and leaf it is in: place (its tree and leaf), dim, label, node, copies, vector, places.
+
+    ``places`` are all of the class, ascending: where two classes meet first can be told
+    anywhere they meet.
+    """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
-                part = batch.take(pa.array(at))
+                part = batch.take(pa.array(np.flatnonzero(dims == dim)))
                 units = _units(part.column("vector").to_pylist())
-                for t, tree in enumerate(forest[int(dim)]):
-                    rows, leaves = tree.leaves(units)
-                    out = part.take(pa.array(rows))
-                    columns = [pa.array(np.full(len(rows), t), pa.int32()), pa.array(leaves)]
-                    columns += [out.column(c) for c in ("dim", "label", "node", "vector")]
-                    yield pa.RecordBatch.from_arrays(columns, names=["tree", "leaf", "dim", "label", "node", "vector"])
+                found = [tree.leaves(units) for tree in forest[int(dim)]]
+                rows = np.concatenate([rows for rows, _ in found])
+                places = np.concatenate([(np.int64(t) << 48) + leaves for t, (_, leaves) in enumerate(found)])
+                order = np.lexsort((places, rows))
+                rows, places = rows[order], places[order]
+                ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(units)))))
+                of_class = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places))
+                # In slices: each row takes its vector and its places with it.
+                for a in range(0, len(rows), PLACED_ROWS):
+                    at = pa.array(rows[a : a + PLACED_ROWS])
+                    out = part.take(at)
+                    columns = [pa.array(places[a : a + PLACED_ROWS])]
+                    columns += [out.column(c) for c in ("dim", "label", "node", "copies", "vector")]
+                    columns.append(of_class.take(at))
+                    names = ["place", "dim", "label", "node", "copies", "vector", "places"]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     label = dict(classes.dtypes)["label"]
-    schema = f"tree int, leaf long, dim int, label {label}, node {id_type}, vector array<double>"
-    return classes.select("dim", "label", "node", "vector").mapInArrow(place, schema)
+    schema = f"place long, dim int, label {label}, node {id_type}, copies long, vector array<double>, places array<long>"
+    return classes.select("dim", "label", "node", "copies", "vector").mapInArrow(place, schema)
 
 
 def _block_pairs(placed: DataFrame) -> DataFrame:
-    """Each vector once for every pair of blocks of its leaf that it is in; ``side`` tells the block.
+    """Each vector once for every pair of blocks of its leaf that it is in; ``block`` tells its own.
 
     A leaf of s vectors has b = ceil(s / BLOCK) blocks by a hash of the id; its block
     pairs are x <= y < b, so a vector is repeated b times.
     """
-    leaf = ["tree", "dim", "label", "leaf"]
+    leaf = ["place", "dim", "label"]
     sizes = placed.groupBy(*leaf).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node", "tree"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("node", "place"), F.col("blocks")).cast("int")
     dealt = placed.join(sizes, leaf).withColumn("block", block)
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    both = dealt.select(*leaf, "node", "vector", "block", others)
+    both = dealt.select(*leaf, "node", "copies", "vector", "places", "block", others)
     return both.select(
-        *leaf, "node", "vector", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block"
+        *leaf,
+        "node",
+        "copies",
+        "vector",
+        "places",
+        F.least("block", "other").alias("x"),
+        F.greatest("block", "other").alias("y"),
+        "block",
     )
 
 
+def _padded(places: list, fill: int) -> np.ndarray:
+    out = np.full((len(places), max(map(len, places))), fill, np.int64)
+    for row, found in zip(out, places, strict=True):
+        row[: len(found)] = found
+    return out
+
+
+def _near_pairs(a: np.ndarray, b: np.ndarray, least_cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of pairs of that cosine, in slices of bounded size."""
+    norm_a, norm_b = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
+    units = (b / norm_b[:, None]).T
+    for start in range(0, len(a), SLICE):
+        near = (a[start : start + SLICE] / norm_a[start : start + SLICE, None]) @ units
+        i, j = np.nonzero(near >= least_cosine - 1e-9)
+        step = max(1, (1 << 22) // max(1, a.shape[1]))
+        for k in range(0, len(i), step):
+            p, q = i[k : k + step] + start, j[k : k + step]
+            cosine = (a[p] * b[q]).sum(axis=1) / (norm_a[p] * norm_b[q])
+            good = cosine >= least_cosine
+            yield p[good], q[good]
+
+
+def _meet_first(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, place: int) -> np.ndarray:
+    """Which pairs have no common place before ``place``, which both have; places are ascending."""
+    out = np.empty(len(i), bool)
+    step = max(1, (1 << 22) // (left.shape[1] * right.shape[1]))
+    for k in range(0, len(i), step):
+        own, others = left[i[k : k + step]], right[j[k : k + step]]
+        common = (own[:, :, None] == others[:, None, :]).any(axis=2)
+        out[k : k + step] = own[np.arange(len(own)), common.argmax(axis=1)] == place
+    return out
+
+
+def _roots(count: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The smallest row number that each row is linked with, over any number of links."""
+    root = np.arange(count)
+    while True:
+        before = root.copy()
+        for i, j in links:
+            least = np.minimum(root[i], root[j])
+            np.minimum.at(root, i, least)
+            np.minimum.at(root, j, least)
+            np.minimum.at(root, before[i], least)
+            np.minimum.at(root, before[j], least)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
 def vector_links(classes: DataFrame, least_cosine: float, trees: int = TREES) -> DataFrame:
-    """``u`` < ``v``: the classes of one label whose vectors have at least that cosine."""
+    """``node``, ``others``, ``root``: rows that add up to the classes' links.
+
+    A class's ``others`` sum to the copies of the classes of its label whose vectors have
+    at least that cosine with its own; it hangs together with its ``root``. A pair is counted
+    where its classes meet first, and no pair is written: a group of near copies gives a
+    row or two per member and block pair.
+    """
     id_type = dict(classes.dtypes)["node"]
     placed = written_once(placed_vectors(classes, fit_trees(classes, trees), id_type))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        left = group[group["block"] == group["x"].iloc[0]]
-        right = group[group["block"] == group["y"].iloc[0]]
-        found_u, found_v = [], []
+        place, same = int(group["place"].iloc[0]), group["x"].iloc[0] == group["y"].iloc[0]
+        is_left = (group["block"] == group["x"]).to_numpy()
+        left = np.flatnonzero(is_left)
+        right = left if same else np.flatnonzero(~is_left)
+        others, links = np.zeros(len(group), np.int64), []
         if len(left) and len(right):
-            a, b = _vectors(left["vector"].tolist()), _vectors(right["vector"].tolist())
-            norm_a, norm_b = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
-            near = (a / norm_a[:, None]) @ (b / norm_b[:, None]).T
-            i, j = np.nonzero(near >= least_cosine - 1e-9)
-            cosine = (a[i] * b[j]).sum(axis=1) / (norm_a[i] * norm_b[j])
-            ids_a, ids_b = left["node"].to_numpy()[i], right["node"].to_numpy()[j]
-            # Within one block every pair is seen twice.
-            good = (cosine >= least_cosine) & (ids_a != ids_b)
-            if group["x"].iloc[0] == group["y"].iloc[0]:
-                good &= ids_a < ids_b
-            found_u, found_v = np.minimum(ids_a[good], ids_b[good]), np.maximum(ids_a[good], ids_b[good])
-        return pd.DataFrame({"u": found_u, "v": found_v})
-
-    keys = ["tree", "dim", "label", "leaf", "x", "y"]
-    found = _block_pairs(placed).groupBy(*keys).applyInPandas(compare, f"u {id_type}, v {id_type}")
-    return found.distinct()
+            vectors = _vectors(group["vector"].tolist())
+            places, copies = group["places"].tolist(), group["copies"].to_numpy()
+            ours, theirs = _padded([places[k] for k in left], -1), _padded([places[k] for k in right], -2)
+            for i, j in _near_pairs(vectors[left], vectors[right], least_cosine):
+                # Within one block every pair is seen twice, once from either side.
+                if same:
+                    i, j = i[i != j], j[i != j]
+                first = _meet_first(ours, theirs, i, j, place)
+                i, j = left[i[first]], right[j[first]]
+                np.add.at(others, i, copies[j])
+                if not same:
+                    np.add.at(others, j, copies[i])
+                links.append(_star(len(group), i, j))
+        linked = np.flatnonzero(others)
+        nodes = group["node"].to_numpy()
+        # Rows in the order of ids, so that the smallest row of a component is its smallest id.
+        order = np.argsort(nodes, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        roots = order[_roots(len(group), [(rank[i], rank[j]) for i, j in links])[rank]]
+        return pd.DataFrame({"node": nodes[linked], "others": others[linked], "root": nodes[roots[linked]]})
+
+    keys = ["place", "dim", "label", "x", "y"]
+    return _block_pairs(placed).groupBy(*keys).applyInPandas(compare, f"node {id_type}, others long, root {id_type}")
+
+
+def _star(count: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer links that connect the same rows."""
+    root = _roots(count, [(i, j)])
+    ends = np.flatnonzero(root != np.arange(count))
+    return ends, root[ends]
 
 
 def near_vectors(
@@ -211,10 +307,8 @@ def near_vectors(
         ).withColumn("dim", F.size("vector"))
     )
     links = written_once(vector_links(classes, least_cosine, trees))
-    roots = written_once(components(links))
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    copies = classes.groupBy(F.col("node").alias("v")).agg(F.sum("copies").alias("copies"))
-    linked = both.join(copies, "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("others"))
+    roots = written_once(components(links.select(F.col("node").alias("u"), F.col("root").alias("v")).distinct()))
+    linked = links.groupBy("node").agg(F.sum("others").alias("others"))
     summary = classes.select("mark", "node", "copies").join(linked, "node", "left").join(roots, "node", "left")
     judged = marked.select("vec", "mark").join(summary, "mark", "left")
     component = F.when(F.col("vec").isNotNull(), F.coalesce("root", "node", F.col("vec")))
