@@ -1,9 +1,10 @@
 """Main text of web pages: page structure, and the runs of tokens that a host's pages share.
 
 A page is read into blocks in page order. Blocks in menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments are boilerplate; those in an article (or, if
-there is none, in a main element) are content and stay whole, however often other pages
-repeat them. About all other blocks the host decides:
+notices, adverts, forms and reader comments are boilerplate, but for the headings in an
+article's own header; those in an article (or, if there is none, in a main element) are
+content and stay whole, however often other pages repeat them. About all other blocks the
+host decides:
 
 * runs of ``RUN`` tokens, boilerplate included and content not, are counted over the
   whole host by the distinct pages they stand on; pages of equal blocks are one;
@@ -68,19 +69,18 @@ _BOILERPLATE_TAGS = frozenset("aside button dialog footer form head header menu
 _BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsored promo cookie cookies gdpr popup modal newsletter "
     "subscribe nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets footer masthead disqus share "
-    "sharing toolbar pagination pager login signup".split()
+    "sharing toolbar pagination pager login signup menu menus notice notices banner banners consent alert".split()
 )
 _COMMENT_NAMES = frozenset("comment comments reply replies".split())
 # Names that content has as well: the host decides about the text in such elements.
 _DOUBTFUL_NAMES = frozenset(
-    "sponsor promotion banner consent notice notices alert menu aside header discussion related social search".split()
+    "sponsor promotion aside header discussion related social search".split()
 )
-# What may stand beside them in one name.
-_QUALIFIERS = frozenset(
-    "site page main global top bottom left right primary secondary user reader box bar block list item container "
-    "wrapper wrap area section inner outer content form links buttons".split()
+# Names with these speak of a state, a layout or a topic, not of what the element is.
+_STATES = frozenset(
+    "has with without no not is layout grid template theme enabled disabled free tag category type".split()
 )
-_KNOWN_NAMES = _COMMENT_NAMES | _BOILERPLATE_NAMES | _DOUBTFUL_NAMES | _QUALIFIERS
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CONTENT_TAGS = frozenset("article main".split())
 _PLAIN_NAMES = frozenset("html body h1 h2 h3 h4 h5 h6".split())
 
@@ -89,12 +89,12 @@ NOTHING, DOUBTFUL, SOFT, HARD = range(4)
 
 
 def _named(attributes: str) -> int:
-    """What class, id and role say: each name counts as a whole, by all of its parts."""
+    """What class, id and role say: a name counts by any part of it, unless another part says that it is a state."""
     found = NOTHING
     for name in " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)).split():
         parts = {part.lower() for part in _PARTS.findall(name) if not part.isdigit()}
         for kind, names in ((HARD, _COMMENT_NAMES), (SOFT, _BOILERPLATE_NAMES), (DOUBTFUL, _DOUBTFUL_NAMES)):
-            if kind > found and parts & names and parts <= _KNOWN_NAMES:
+            if kind > found and parts & names and not parts & _STATES:
                 found = kind
     return found
 
@@ -160,6 +160,11 @@ def _blocks(html: str, plain: frozenset[int]) -> tuple[list[tuple[int, str]], fr
                 return None
         return None
 
+    def in_own_header() -> bool:
+        """Whether the article's own header is the only boilerplate around."""
+        walls = [i for i, (_, _, kind, _) in enumerate(stack) if kind >= SOFT and stack[i][3] not in plain]
+        return len(walls) == 1 and walls[0] > 0 and stack[walls[0]][0] == "header" and stack[walls[0] - 1][1] == ARTICLE
+
     while m := _TOKEN.match(html, at):
         at = m.end()
         tag = m[2].lower() if m[2] else None
@@ -198,6 +203,8 @@ def _blocks(html: str, plain: frozenset[int]) -> tuple[list[tuple[int, str]], fr
             elif all(kind < HARD for _, _, kind, _ in stack):
                 around.update(begin for _, _, kind, begin in stack if kind == SOFT)
         inner_mode = _mode(tag, excluded, mode)
+        if tag in _HEADINGS and mode == EXCLUDED and in_own_header():
+            inner_mode = ARTICLE
         if inner_mode != mode:
             flush()
         stack.append((tag, inner_mode, excluded, m.start()))

@@ -125,3 +125,23 @@ def test_the_host_decides_about_doubtful_names():
         for i in range(3)
     ]
     assert main_texts([blocks_of(p) for p in site]) == [f"a{i}\n" + " ".join(f"d{i}x{k}" for k in range(9)) for i in range(3)]
+
+
+def test_extras_in_an_article_go_and_its_heading_stays():
+    html = """<article><header><h1>A <b>Title</b></h1><p>by someone</p><nav><h2>Menu</h2></nav></header><p>Body text.</p>
+    <div class="user-comment-body">A reader wrote</div><div class="related-posts">More posts</div>
+    <div class="post-share-buttons">Share</div><div class="ad-slot-300">Buy now</div>
+    <div class="site-notices">We use things</div><p>End.</p></article>"""
+    assert main_texts([blocks_of(html)]) == ["A Title\nBody text.\nEnd."]
+    assert main_texts([blocks_of("<header><h1>Site</h1></header><article>x</article>")]) == ["x"]
+    assert main_texts([blocks_of("<aside><article><header><h1>no</h1></header></article></aside><p>y")]) == ["y"]
+
+
+@pytest.mark.parametrize("names", ["has-sidebar", "no-ads", "layout-sidebar-right", "tag-social category-search", "with-menu"])
+def test_names_of_states_and_layouts_exclude_nothing(names):
+    assert main_texts([blocks_of(f"<div class='{names}'><p>All of this stays.</p></div>")]) == ["All of this stays."]
+
+
+def test_a_named_box_around_the_article_is_no_boilerplate():
+    html = "<div class='widget-page'><article>Kept.</article></div><div class='widget-page'>Gone.</div>"
+    assert main_texts([blocks_of(html)]) == ["Kept."]
