@@ -31,7 +31,7 @@ from stratamill.sinks.published import (
     stage,
     stage_upsert,
 )
-from stratamill.sinks.replicate import replicate_directories
+from stratamill.sinks.replicate import repair, replicate_directories
 from stratamill.sources.batches import add_batch, compact_days
 from stratamill.sources.bronze import read_all_bronze, unmerged_bronze
 from stratamill.sources.files import read_new_files
@@ -228,6 +228,12 @@ def gold_job(
     return statuses
 
 
+def repair_job(spark: SparkSession, lake: Lake) -> dict[str, dict[str, str]]:
+    """Compare the copies of the Gold models with the primary ones, row by row, and mend what differs."""
+    primary = next(iter(lake.gold.values()))
+    return {name: repair(spark, name, lake.gold) for name in GOLD_CLUSTER_BY if live_directories(spark, f"{primary}/{name}")}
+
+
 def mart_job(spark: SparkSession, lake: Lake, *, run_ts: RunTime = None, gate: bool = True) -> None:
     """Build the revenue mart from the staging view and publish it."""
     root = f"{lake.marts}/mart_revenue_by_cloud"

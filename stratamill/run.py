@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from stratamill.plans import jobs
 from stratamill.session import build_session
 
-JOBS = ("ingest", "silver", "gold", "mart", "upkeep", "layout", "quality", "parity", "daily")
+JOBS = ("ingest", "silver", "gold", "mart", "upkeep", "layout", "repair", "quality", "parity", "daily")
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -48,6 +48,8 @@ def run(spark: SparkSession, lake: jobs.Lake, args: argparse.Namespace):
             return jobs.upkeep_job(spark, lake)
         case "layout":
             return jobs.layout_job(spark, lake)
+        case "repair":
+            return jobs.repair_job(spark, lake)
         case "quality":
             return [row.asDict() for row in jobs.quality_job(spark, lake).collect()]
         case "parity":
