@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamill.functions.zcurve import bucket_of, interleave, quantile_bounds
+from stratamill.session import setting
 
 # Rows drawn to place the bucket bounds. They steer the layout only, never which rows there are.
 BOUND_SAMPLE_ROWS = 10_000
@@ -23,16 +24,8 @@ def compact(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
 @contextmanager
 def target_file_bytes(spark: SparkSession, size: int) -> Iterator[None]:
     """Within the block, rebalanced and coalesced partitions aim at ``size`` bytes."""
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, f"{size}b")
-    try:
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{size}b"):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
 
 
 def z_value(df: DataFrame, columns: Sequence[str], bits: int = BITS_PER_COLUMN) -> Column:

@@ -161,7 +161,8 @@ def silver_job(
         before = live_directories(spark, root)
         rows = batch if observed is None else observed.rows
         directories = stage_upsert(rows, root, contract.key, contract.partition_by, order_by)
-        changed = sorted(set(directories) - set(before))
+        known = {d.split("/")[0] for d in before}
+        changed = [d for d in directories if d.split("/")[0] not in known]
         if gate and changed and observed is not None:
             staged = stg_transactions(read_directories(spark, root, changed, like=directories))
             checks.enforce(observed.report(), checks.staging_key_check(staged))
@@ -271,7 +272,7 @@ def layout_job(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Cluster the Silver and Gold tables."""
     primary = next(iter(lake.gold.values()))
     tasks = [
-        LayoutTask(f"silver-{c.name}", f"{lake.silver}/{c.name}", c.cluster_by, c.partition_by)
+        LayoutTask(f"silver-{c.name}", f"{lake.silver}/{c.name}", c.cluster_by, c.partition_by, c.key)
         for c in CONTRACTS.values()
     ]
     tasks += [LayoutTask(f"gold-{name}", f"{primary}/{name}", columns) for name, columns in GOLD_CLUSTER_BY.items()]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution carries three things here: joins switch to broadcast once
@@ -23,3 +26,17 @@ def build_session(app_name: str, **overrides: str) -> SparkSession:
     for key, value in {**SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """Within the block, the session has another value of one setting."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

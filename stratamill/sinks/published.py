@@ -10,16 +10,18 @@ A line that begins with ``#`` is a mark: a name and a number that become visible
 with the directories, such as how much of a source is merged into them.
 
 A directory is ``snapshot=<id>`` or, for a partitioned table, one partition in
-it, so the list grows with the number of partitions, not with the rows. Data is
-written first, may be checked, and becomes visible when its version is
-written; a job that dies before that leaves the table as it was. Each table
-has one writer at a time.
+it, so the list grows with the number of partitions, not with the rows. Once an upsert
+has replaced some files of a directory, the files that are left are listed one by one in
+its place, until the partition is laid out anew. Data is written first, may be checked,
+and becomes visible when its version is written; a job that dies before that leaves the
+table as it was. Each table has one writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamill.operators.upsert import accept_newer, untouched_rows
+from stratamill.session import setting
+from stratamill.sinks.written import written_once
+
+# Batches of at most this many keys are looked up one by one in the files' bloom filters.
+LOOKUP_KEYS = 1000
+# A filter's errors add up over the keys of a batch: at this rate, 1,000 keys open one file in a hundred for nothing.
+LOOKUP_ERROR = 1e-5
+LOOKUP_MAX_BYTES = 8 * 1024 * 1024
+
+
+def file_of(file_path: Column) -> Column:
+    """A data file relative to its table root."""
+    return F.concat(F.lit("snapshot="), F.substring_index(file_path, "snapshot=", -1))
+
+
+def is_file(entry: str) -> bool:
+    """Whether an entry of the live list is a single file."""
+    return entry.endswith(".parquet")
+
+
+def partition_of(entry: str) -> str:
+    """The partition that an entry of the live list belongs to; empty for an unpartitioned table."""
+    directory = entry.rsplit("/", 1)[0] if is_file(entry) else entry
+    return directory.removeprefix(directory.split("/")[0])
 
 
 def directory_of(file_path: Column) -> Column:
@@ -64,7 +90,7 @@ def _lines(spark: SparkSession, root: str) -> list[str]:
 
 
 def live_directories(spark: SparkSession, root: str) -> list[str]:
-    """The live directories, relative to ``root``; empty for a table that does not exist."""
+    """The live directories, or single files of one, relative to ``root``; empty for a table that does not exist."""
     return [line for line in _lines(spark, root) if not line.startswith("#")]
 
 
@@ -91,7 +117,7 @@ def read_directories(
     typed_last = sorted([*like, *directories], key=lambda d: (NULL_PARTITION not in d, d in directories))
     one_per_snapshot = {d.split("/")[0]: f"{root}/{d}" for d in typed_last}
     merged = spark.read.option("basePath", root).option("mergeSchema", True).parquet(*one_per_snapshot.values()).schema
-    from_paths = {level.split("=")[0] for d in directories for level in d.split("/")}
+    from_paths = {level.split("=")[0] for d in directories for level in d.split("/") if "=" in level}
     stored = T.StructType([f for f in merged.fields if f.name not in from_paths])
     rows = reader.schema(stored).parquet(*[f"{root}/{d}" for d in directories]).drop("snapshot")
     known = {f.name: f.dataType for f in merged.fields if not isinstance(f.dataType, T.NullType)}
@@ -107,21 +133,39 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
     return read_directories(spark, root, live)
 
 
+def _lookup_options(key: str) -> dict[str, Any]:
+    """Writer options for a bloom filter over the key in every row group, sized by its number of keys."""
+    return {
+        f"parquet.bloom.filter.enabled#{key}": True,
+        f"parquet.bloom.filter.fpp#{key}": LOOKUP_ERROR,
+        "parquet.bloom.filter.max.bytes": LOOKUP_MAX_BYTES,
+        "parquet.bloom.filter.adaptive.enabled": True,
+    }
+
+
 def stage(
-    df: DataFrame, root: str, partition_by: Sequence[str] = (), *, rebalance: bool = True, mark: str = "rows"
+    df: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = (),
+    *,
+    rebalance: bool = True,
+    mark: str = "rows",
+    lookup: str | None = None,
 ) -> list[str]:
     """Write rows to a fresh snapshot, not yet visible; returns its directories.
 
     Rows are rebalanced by the partition columns first: one partition comes
     from few tasks instead of from all of them, and adaptive execution splits
     a partition that holds much of the data. Pass ``rebalance=False`` for
-    rows that are already laid out. ``mark`` starts the snapshot's name.
+    rows that are already laid out. ``mark`` starts the snapshot's name. Files carry
+    a bloom filter over the column ``lookup``.
     """
     spark = df.sparkSession
     snapshot = f"snapshot={mark}-{uuid.uuid4().hex}"
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("error").partitionBy(*partition_by).parquet(f"{root}/{snapshot}")
+    options = _lookup_options(lookup) if lookup else {}
+    df.write.mode("error").options(**options).partitionBy(*partition_by).parquet(f"{root}/{snapshot}")
     if not partition_by:
         return [snapshot]
     files = list_files(spark, root, [snapshot])
@@ -129,10 +173,16 @@ def stage(
 
 
 def list_files(spark: SparkSession, root: str, directories: Sequence[str]) -> DataFrame:
-    """The data files of some directories: ``directory``, ``path``, ``length``. Reads no contents."""
+    """The data files of some entries of a list: ``entry``, ``directory``, ``file``, ``path``, ``length``.
+
+    Reads no contents. ``file`` is relative to the table root.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     files = reader.load([f"{root}/{d}" for d in directories])
-    return files.select(directory_of(F.col("path")).alias("directory"), "path", "length")
+    by_file = {d.rsplit("/", 1)[0] for d in directories if is_file(d)}
+    directory, file = directory_of(F.col("path")), file_of(F.col("path"))
+    entry = F.when(directory.isin(*by_file), file).otherwise(directory) if by_file else directory
+    return files.select(entry.alias("entry"), directory.alias("directory"), file.alias("file"), "path", "length")
 
 
 def publish(
@@ -155,24 +205,42 @@ def replace_published(df: DataFrame, root: str, partition_by: Sequence[str] = ()
     return publish(df.sparkSession, root, stage(df, root, partition_by))
 
 
-def _directories_holding(table: DataFrame, incoming: DataFrame, key: str, live: Sequence[str]) -> set[str]:
-    """Live directories with a row whose key comes in.
+def files_holding(table: DataFrame, incoming: DataFrame, key: str) -> list[str]:
+    """Files of ``table``, relative to its root, with a row whose key comes in; NULL keys are in none.
 
-    This is the one step that looks at every key of the table. It compares and
-    moves two 64-bit hashes per row, of the key and of the directory. Keys that
-    collide can only name a directory too many, which is then rewritten as it was.
+    Up to ``LOOKUP_KEYS`` keys are looked for by value: the files' minima, maxima and bloom
+    filters tell which row groups can hold one, only those are read, and nothing is moved. More keys
+    bound the search by the smallest and the largest of them, which skips most of the table
+    if new keys follow old ones; then two 64-bit hashes per row within the bounds are moved, of the
+    key and of the file. Keys that collide can only name a file too many, which is
+    then rewritten as it was.
     """
     spark = table.sparkSession
-    held = table.filter(F.col(key).isNotNull()).select(
-        F.xxhash64(key).alias("key_hash"), F.xxhash64(directory_of(F.col("_metadata.file_path"))).alias("directory_hash")
-    )
-    coming = incoming.filter(F.col(key).isNotNull()).select(F.xxhash64(key).alias("key_hash"))
-    hit = held.join(coming, "key_hash", "left_semi").select("directory_hash").distinct()
-    names = spark.createDataFrame([(d,) for d in live], "directory string").select(
-        "directory", F.xxhash64("directory").alias("directory_hash")
+    keys = incoming.filter(F.col(key).isNotNull()).select(key)
+    few = [row[0] for row in keys.limit(LOOKUP_KEYS + 1).collect()]
+    if not few:
+        return []
+    path = F.col("_metadata.file_path")
+    if len(few) <= LOOKUP_KEYS:
+        with setting(spark, "spark.sql.parquet.pushdown.inFilterThreshold", LOOKUP_KEYS):
+            found = table.filter(F.col(key).isin(few)).select(file_of(path).alias("file")).distinct().collect()
+        return sorted(row.file for row in found)
+    least, most = keys.agg(F.min(key), F.max(key)).first()
+    held = table.filter(F.col(key).between(least, most)).select(
+        F.xxhash64(key).alias("key_hash"), F.xxhash64(file_of(path)).alias("file_hash")
     )
-    by_hash = {row.directory_hash: row.directory for row in names.collect()}
-    return {by_hash[row.directory_hash] for row in hit.collect()}
+    hit = held.join(keys.select(F.xxhash64(key).alias("key_hash")), "key_hash", "left_semi").select("file_hash").distinct()
+    names = spark.createDataFrame([(f,) for f in table.inputFiles()], "path string").select(file_of(F.col("path")).alias("file"))
+    found = names.withColumn("file_hash", F.xxhash64("file")).join(hit, "file_hash", "left_semi")
+    return sorted(row.file for row in found.select("file").collect())
+
+
+def _without(spark: SparkSession, root: str, live: Sequence[str], files: Sequence[str]) -> list[str]:
+    """The live list without some files: their directories are replaced by the files left in them."""
+    gone, broken = set(files), {f.rsplit("/", 1)[0] for f in files}
+    opened = [d for d in live if d in broken]
+    left = {row.file for row in list_files(spark, root, opened).select("file").collect()} if opened else set()
+    return sorted((({*live} - {*opened}) | left) - gone)
 
 
 def stage_upsert(
@@ -182,30 +250,37 @@ def stage_upsert(
     partition_by: Sequence[str] = (),
     order_by: str | None = None,
 ) -> list[str]:
-    """Write what an upsert of ``source`` needs; returns the directories live after it.
+    """Write what an upsert of ``source`` needs; returns the directories and files live after it.
 
     The source (each key once) is written first and read back from there, so
-    it is computed once. Live directories that hold one of its keys are
-    rewritten without those rows; all others stay as they are. A row that
+    it is computed once. Live files that hold one of its keys are rewritten without
+    those rows; all others stay as they are, those of the same directory too. A row that
     moves to another partition is thus gone from its old one, and a partition
-    that loses its last row is no longer listed.
+    that loses its last row is no longer listed. With ``order_by`` the batch is compared
+    with the files that hold its keys, not with the table.
     """
     spark = source.sparkSession
     live = live_directories(spark, root)
     if not live:
-        return stage(source, root, partition_by)
+        return stage(source, root, partition_by, lookup=key)
+    table = read_directories(spark, root, live)
     if order_by is not None:
-        source = accept_newer(source, read_directories(spark, root, live), key, order_by)
-    incoming = stage(source, root, partition_by)
+        source = written_once(source)
+        rivals = files_holding(table, source, key)
+        if rivals:
+            source = accept_newer(source, read_directories(spark, root, rivals, like=live), key, order_by)
+    incoming = stage(source, root, partition_by, lookup=key)
     if not incoming:
         return live
     incoming_rows = read_directories(spark, root, incoming, like=live)
-    hit = _directories_holding(read_directories(spark, root, live), incoming_rows, key, live)
+    if order_by is not None and rivals:
+        table = read_directories(spark, root, rivals, like=live)
+    hit = files_holding(table, incoming_rows, key)
     if not hit:
         return sorted({*live, *incoming})
-    touched = read_directories(spark, root, sorted(hit), like=live)
-    kept = stage(untouched_rows(touched, incoming_rows, key), root, partition_by)
-    return sorted({*live, *incoming, *kept} - hit)
+    touched = read_directories(spark, root, hit, like=live)
+    kept = stage(untouched_rows(touched, incoming_rows, key), root, partition_by, lookup=key)
+    return sorted({*_without(spark, root, live, hit), *incoming, *kept})
 
 
 def upsert_published(

@@ -14,7 +14,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamill.sinks.published import directory_of, live_directories, live_marks, publish, read_directories, stage
+from stratamill.sinks.published import (
+    directory_of,
+    is_file,
+    live_directories,
+    live_marks,
+    publish,
+    read_directories,
+    stage,
+)
 
 logger = logging.getLogger(__name__)
 
@@ -98,8 +106,11 @@ def replicate_directories(
     ``targets`` maps a label to a root under which tables live; the staged
     directories belong to the first one. A failing copy is logged and reported
     in its status and keeps no other target from its copy, and its target as it was; the
-    next call goes on with it. A failing first target raises.
+    next call goes on with it. A failing first target raises. Single files, which upserts
+    leave in a list, cannot be copied under their names: lay the table out first.
     """
+    if any(map(is_file, directories)):
+        raise ValueError(f"{name} lists single files; compact or cluster it before it is copied")
     (first, first_root), *others = targets.items()
     source = f"{first_root}/{name}"
     known = listed_checksums(spark, source)
