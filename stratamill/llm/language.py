@@ -9,8 +9,8 @@ bounded sample of labelled texts (``SAMPLE_TEXTS`` texts, ``CROPS`` pieces of
 
 Every window of a whole text counts, weighted by its length. Prediction is one pass in
 Arrow batches without a shuffle; memory is that of one batch. The sample takes the same
-number of texts of each language as far as there are any, in the order of a hash; each
-task sends so many candidates at most.
+number of texts of each language as far as there are any, in the order of a hash; about
+so many of each language are moved, dealt over tasks by ranges of the hash.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0. Without a
 labelled text everything is. Null labels and rows without a doc_id are never learned
@@ -183,22 +183,47 @@ def train(sample: list[tuple[str, str]]) -> Network | None:
     return network
 
 
+def _step(at: Column) -> Column:
+    """Where a hash lies among all, in steps that grow with it: each is about a ninetieth of all before it.
+
+    So the steps that hold the first texts of a language hold few others, however many texts
+    there are, and a language has some thousand steps at most.
+    """
+    share = (at.cast("double") + F.lit(2.0**63) + F.lit(1.0)) / F.lit(2.0**64)
+    return F.floor(F.log2(share) * 64)
+
+
 def training_sample(
     df: DataFrame, key: str, text: str, lang: str, texts: int = SAMPLE_TEXTS
 ) -> list[tuple[str, str]]:
-    """Pieces of at most ``texts`` labelled texts outside of the held-out fold."""
+    """Pieces of at most ``texts`` labelled texts outside of the held-out fold.
+
+    The texts of a language are taken in the order of a hash. They are counted by steps of
+    it, which tells how many lie before each step, and numbered within their step: no task
+    gets the texts of a whole language. Rows of equal id and text count once.
+    """
     usable = df.where(
         F.col(lang).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)) & F.col(text).rlike(r"\p{L}")
     )
-    order = F.xxhash64(F.lit(SEED), key)
-    room = F.greatest(F.length(text) - CROP_CHARS, F.lit(0)) + 1
+    marked = usable.select(
+        F.col(lang).alias("lang"),
+        F.col(key).alias("key"),
+        F.col(text).alias("text"),
+        F.xxhash64(F.lit(SEED), key, text).alias("at"),
+    ).withColumn("step", _step(F.col("at")))
+    sizes = marked.groupBy("lang", "step").agg(F.count_distinct("at").alias("n"))
+    earlier = Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    places = sizes.select("lang", "step", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    near = marked.join(places.where(F.col("before") < texts), ["lang", "step"])
+    room = F.greatest(F.length("text") - CROP_CHARS, F.lit(0)) + 1
     crops = [
-        F.substring(F.col(text), (F.pmod(F.xxhash64(F.lit(k), key), room) + 1).cast("int"), F.lit(CROP_CHARS))
+        F.substring(F.col("text"), (F.pmod(F.xxhash64(F.lit(k), "key"), room) + 1).cast("int"), F.lit(CROP_CHARS))
         for k in range(CROPS)
     ]
-    ordered = usable.select(F.col(lang).alias("lang"), order.alias("at"), F.array(*crops).alias("crops"))
-    by_lang = Window.partitionBy("lang").orderBy("at", "crops")
-    nth = ordered.withColumn("nth", F.row_number().over(by_lang)).where(F.col("nth") <= texts)
+    # Equal rows are folded before they move.
+    once = near.groupBy("lang", "step", "before", "at").agg(F.min(F.array(*crops)).alias("crops"))
+    within = F.row_number().over(Window.partitionBy("lang", "step").orderBy("at"))
+    nth = once.select("lang", "crops", (F.col("before") + within).alias("nth")).where(F.col("nth") <= texts)
     rows = nth.orderBy("nth", "lang").limit(texts).select("lang", "crops").collect()
     return [(row["lang"], crop) for row in rows for crop in row["crops"]]
 

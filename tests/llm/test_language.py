@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from odd import ODD_TEXTS, documents
 
-from stratamill.llm.language import EMBEDDING, WINDOW, Network, encoded, identify, windows_of
+from stratamill.llm.language import CROPS, EMBEDDING, WINDOW, Network, encoded, identify, training_sample, windows_of
 
 WORDS = {
     "aa": "the thing with other and then that".split(),
@@ -37,6 +37,19 @@ def test_labels_of_held_out_rows_are_not_learned(spark):
     assert "wrong" not in {r["lang_pred"] for r in identify(documents(spark, rows)).collect()}
 
 
+def test_the_sample_takes_the_same_number_of_each_language(spark):
+    rows = [(k, f"text {k}", "aa" if k % 5 else "bb") for k in range(3000)]
+    rows += [(7, "text 7", "aa")] * 900 + [(8, f"other {k}", "bb") for k in range(900)] + [(9, "text 9", "cc")] * 3
+    usable = {(t, lang) for k, t, lang in rows if zlib.crc32(str(k).encode()) % 3 != 1}
+    for size in (10, 400, 5000):
+        sample = training_sample(documents(spark, rows), "doc_id", "text", "lang", size)
+        texts = [(piece, lang) for lang, piece in sample[::CROPS]]
+        assert set(texts) <= usable and len(set(texts)) == len(texts) == min(size, len(usable))
+        held = [sum(lang == x for _, lang in usable) for x in ("aa", "bb", "cc")]
+        taken = [sum(lang == x for _, lang in texts) for x in ("aa", "bb", "cc")]
+        assert taken[2] == held[2] and (max(taken) - min(taken[:2]) <= 1 or taken == held)
+
+
 def test_odd_rows(spark):
     rows = [*[(k, t, "aa") for k, t, *_ in ODD_TEXTS], (70, "12 34 !?", "bb"), (71, "text", None)]
     found = identify(documents(spark, rows)).collect()
