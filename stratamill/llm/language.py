@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratamill.llm.tokens import chunks
+from stratamill.sinks.written import written_once
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -214,7 +215,8 @@ def training_sample(
     sizes = marked.groupBy("lang", "step").agg(F.count_distinct("at").alias("n"))
     earlier = Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     places = sizes.select("lang", "step", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    near = marked.join(places.where(F.col("before") < texts), ["lang", "step"])
+    # Written, so that its size is known: the join is broadcast if that is small, and no text is moved.
+    near = marked.join(written_once(places.where(F.col("before") < texts)), ["lang", "step"])
     room = F.greatest(F.length("text") - CROP_CHARS, F.lit(0)) + 1
     crops = [
         F.substring(F.col("text"), (F.pmod(F.xxhash64(F.lit(k), "key"), room) + 1).cast("int"), F.lit(CROP_CHARS))
