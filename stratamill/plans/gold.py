@@ -6,11 +6,16 @@ the final grain. The outcome is the same as joining every row first, also
 when a dimension repeats a key or a key finds no match. But the join moves
 aggregated rows only, and a customer or product with a third of all rows has
 been folded on the map side before any shuffle.
+
+The first aggregation of a model is a function of its own, so that its result can be
+stored by month and taken up again (:mod:`stratamill.plans.refresh`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamill.functions.days import AsOf, RunTime, as_of_day, run_time, within_days
@@ -33,9 +38,24 @@ def daily_revenue(
     run_ts: RunTime = None,
 ) -> DataFrame:
     """Revenue per day, category and country."""
+    return daily_from(daily_part(transactions, customers, products, high_value_above=high_value_above), run_ts=run_ts)
+
+
+def daily_part(
+    transactions: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    *,
+    high_value_above: float = HIGH_VALUE_ABOVE,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Exact totals per day, category and country.
+
+    With the month in ``by``, which the day implies, the totals of one month come from its transactions alone.
+    """
     per_customer = (
         with_dimension(transactions, products, "product_id", ["category"])
-        .groupBy("txn_date", "category", "customer_id")
+        .groupBy(*by, "txn_date", "category", "customer_id")
         .agg(
             F.count("transaction_id").alias("total_transactions"),
             F.count("amount").alias("priced"),
@@ -43,9 +63,9 @@ def daily_revenue(
             F.count_if(F.col("amount") > high_value_above).alias("high_value_orders"),
         )
     )
-    per_group = (
+    return (
         with_dimension(per_customer, customers, "customer_id", ["country_code"])
-        .groupBy("txn_date", "category", "country_code")
+        .groupBy(*by, "txn_date", "category", "country_code")
         .agg(
             F.sum("total_transactions").alias("total_transactions"),
             F.sum("priced").alias("priced"),
@@ -54,8 +74,12 @@ def daily_revenue(
             F.sum("high_value_orders").alias("high_value_orders"),
         )
     )
+
+
+def daily_from(part: DataFrame, *, run_ts: RunTime = None) -> DataFrame:
+    """The model of the totals."""
     revenue = from_cents("cents")
-    return per_group.select(
+    return part.select(
         "txn_date",
         "category",
         "country_code",
@@ -73,11 +97,28 @@ def customer_rfm(
     transactions: DataFrame, customers: DataFrame, *, as_of: AsOf = None, run_ts: RunTime = None
 ) -> DataFrame:
     """Spend, recency and segment per customer as of one day."""
+    return _rfm(transactions, F.count("transaction_id"), to_cents("amount"), customers, as_of, run_ts)
+
+
+def customer_days(transactions: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """Orders and exact spend per customer and day; what the horizons of any day can be taken from."""
+    return transactions.groupBy(*by, "customer_id", "txn_date").agg(
+        F.count("transaction_id").alias("total_orders"), F.sum(to_cents("amount")).alias("cents")
+    )
+
+
+def rfm_from(days: DataFrame, customers: DataFrame, *, as_of: AsOf = None, run_ts: RunTime = None) -> DataFrame:
+    """The model of the customers' days."""
+    return _rfm(days, F.sum("total_orders"), F.col("cents"), customers, as_of, run_ts)
+
+
+def _rfm(
+    rows: DataFrame, orders: Column, cents: Column, customers: DataFrame, as_of: AsOf, run_ts: RunTime
+) -> DataFrame:
     today = as_of_day(as_of)
-    cents = to_cents("amount")
     horizons = [f"spend_{days}d" for days in HORIZON_DAYS]
-    per_customer = transactions.groupBy("customer_id").agg(
-        F.count("transaction_id").alias("total_orders"),
+    per_customer = rows.groupBy("customer_id").agg(
+        orders.alias("total_orders"),
         F.sum(cents).alias("lifetime_spend"),
         F.max("txn_date").alias("last_order_date"),
         F.min("txn_date").alias("first_order_date"),
@@ -117,14 +158,23 @@ def customer_rfm(
 
 def product_performance(transactions: DataFrame, products: DataFrame, *, run_ts: RunTime = None) -> DataFrame:
     """Units, revenue and buyers per product and month."""
-    per_product = transactions.groupBy("product_id", "txn_year", "txn_month").agg(
+    return performance_from(product_months(transactions), products, run_ts=run_ts)
+
+
+def product_months(transactions: DataFrame) -> DataFrame:
+    """Units, exact revenue and buyers per product and month, without the products' table."""
+    return transactions.groupBy("product_id", "txn_year", "txn_month").agg(
         F.count("transaction_id").alias("units_sold"),
         F.count("amount").alias("priced"),
         F.sum(to_cents("amount")).alias("cents"),
         F.countDistinct("customer_id").alias("unique_buyers"),
     )
+
+
+def performance_from(months: DataFrame, products: DataFrame, *, run_ts: RunTime = None) -> DataFrame:
+    """The model of the products' months."""
     per_group = (
-        with_dimension(per_product, products, "product_id", ["category"])
+        with_dimension(months, products, "product_id", ["category"])
         .groupBy("product_id", "category", "txn_year", "txn_month")
         .agg(
             F.sum("units_sold").alias("units_sold"),

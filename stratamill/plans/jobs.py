@@ -17,8 +17,8 @@ from stratamill.functions.days import AsOf, RunTime
 from stratamill.operators.combine import union_sources
 from stratamill.operators.lineage import stamp
 from stratamill.operators.quality import Observed, parity
-from stratamill.plans import checks
-from stratamill.plans.gold import customer_rfm, daily_revenue, product_performance
+from stratamill.plans import checks, refresh
+from stratamill.plans.gold import daily_from, performance_from, rfm_from
 from stratamill.plans.maintenance import TARGET_FILE_BYTES, LayoutTask, maintain
 from stratamill.plans.marts import mart_revenue_by_cloud, stg_transactions
 from stratamill.plans.silver import silver_table
@@ -56,6 +56,11 @@ class Lake:
     gold: Mapping[str, str] = field(hash=False)
     marts: str
 
+    @property
+    def parts(self) -> str:
+        """The Gold models' partial aggregates, beside the primary models."""
+        return f"{next(iter(self.gold.values()))}/parts"
+
     def bronze_of(self, table: str) -> dict[str, str]:
         """The table's Bronze directories of every source: what the stream and what full ingests delivered."""
         streamed = {cloud: f"{base}/{table}" for cloud, base in self.bronze.items()}
@@ -188,31 +193,42 @@ def read_silver(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
 
 
 def gold_job(
-    spark: SparkSession, lake: Lake, *, as_of: AsOf = None, run_ts: RunTime = None, gate: bool = True
+    spark: SparkSession,
+    lake: Lake,
+    *,
+    as_of: AsOf = None,
+    run_ts: RunTime = None,
+    gate: bool = True,
+    everything: bool = False,
 ) -> dict[str, dict[str, str]]:
     """Build the three models and publish each to all targets; returns the status per target.
 
-    Each model is computed once, into the primary target; its checks are counted
-    while it is written, and the copies read what was written. Its counts have to add up to
-    the transactions, so that a join which repeated some is stopped. The models read
-    different columns of the transactions and group them by different keys, so each scans the
-    columns it needs rather than a cached copy of the whole.
+    Their partial aggregates are stored by month beside the primary target, and only months that
+    changed since the last run are read again (:mod:`stratamill.plans.refresh`); with
+    ``everything``, all are. Each model is finished once, into the primary target; its checks
+    are counted while it is written, and the copies read what was written. Its counts have to
+    add up to the transactions, so that a join which repeated some is stopped, and a stored
+    month that is not the transactions' as well.
     """
     transactions, customers, products = (
         read_silver(spark, lake, c.name) for c in (TRANSACTIONS, CUSTOMERS, PRODUCTS)
     )
+    refresh.refresh_parts(spark, lake.silver, lake.parts, everything=everything)
+    stored = refresh.parts(spark, lake.parts)
     models = [
         Observed(
-            daily_revenue(transactions, customers, products, run_ts=run_ts),
+            daily_from(stored[refresh.DAILY], run_ts=run_ts),
             "daily_revenue",
             checks.daily_rules(),
             total=F.sum("total_transactions"),
         ),
         Observed(
-            customer_rfm(transactions, customers, as_of=as_of, run_ts=run_ts), "customer_rfm", checks.rfm_rules()
+            rfm_from(stored[refresh.DAYS], customers, as_of=as_of, run_ts=run_ts), "customer_rfm", checks.rfm_rules()
         ),
         Observed(
-            product_performance(transactions, products, run_ts=run_ts), "product_performance", total=F.sum("units_sold")
+            performance_from(stored[refresh.MONTHS], products, run_ts=run_ts),
+            "product_performance",
+            total=F.sum("units_sold"),
         ),
     ]
     counted = {"daily_revenue": "total_transactions", "product_performance": "units_sold"}

@@ -25,7 +25,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--source", help="ingest: one source label instead of all")
     parser.add_argument("--since", type=dt.date.fromisoformat, help="silver, parity, daily: first ingest day to take")
-    parser.add_argument("--everything", action="store_true", help="silver: all batches, merged before or not")
+    parser.add_argument("--everything", action="store_true", help="silver: all batches, merged before or not; gold: all months")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="gold, daily: the reporting day")
     parser.add_argument("--no-gate", action="store_true", help="publish without checks")
     return parser.parse_args(argv)
@@ -41,7 +41,7 @@ def run(spark: SparkSession, lake: jobs.Lake, args: argparse.Namespace):
         case "silver":
             return jobs.silver_job(spark, lake, since=args.since, everything=args.everything, gate=gate)
         case "gold":
-            return jobs.gold_job(spark, lake, as_of=args.as_of, gate=gate)
+            return jobs.gold_job(spark, lake, as_of=args.as_of, gate=gate, everything=args.everything)
         case "mart":
             return jobs.mart_job(spark, lake, gate=gate)
         case "upkeep":

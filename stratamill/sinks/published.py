@@ -62,8 +62,8 @@ def directory_of(file_path: Column) -> Column:
     return F.concat(F.lit("snapshot="), F.left(below, F.length(below) - F.length(file_name) - F.lit(1)))
 
 
-def _newest_list(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    """Number and path of the newest published list; 0 and None for a table that does not exist.
+def _lists(spark: SparkSession, root: str) -> dict[int, str]:
+    """Paths of the published lists by version; none for a table that does not exist.
 
     A list counts once it has a data file. One that a crash left half-written has none,
     and its name is never used again, so it is in nobody's way.
@@ -72,11 +72,17 @@ def _newest_list(spark: SparkSession, root: str) -> tuple[int, str | None]:
         files = spark.read.schema("value string").text(f"{root}/published").inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return 0, None
+            return {}
         raise
-    names = {path.rsplit("/version=", 1)[1].split("/")[0] for path in files}
-    name = max(names, key=lambda n: (int(n.split("-")[0]), n), default=None)
-    return (0, None) if name is None else (int(name.split("-")[0]), f"{root}/published/version={name}")
+    names = sorted({path.rsplit("/version=", 1)[1].split("/")[0] for path in files})
+    return {int(name.split("-")[0]): f"{root}/published/version={name}" for name in names}
+
+
+def _newest_list(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number and path of the newest published list; 0 and None for a table that does not exist."""
+    lists = _lists(spark, root)
+    newest = max(lists, default=0)
+    return newest, lists.get(newest)
 
 
 def current_version(spark: SparkSession, root: str) -> int:
@@ -94,6 +100,14 @@ def live_directories(spark: SparkSession, root: str) -> list[str]:
     return [line for line in _lines(spark, root) if not line.startswith("#")]
 
 
+def directories_at(spark: SparkSession, root: str, version: int) -> list[str] | None:
+    """What was live in one version; None if its list is gone."""
+    path = _lists(spark, root).get(version)
+    if path is None:
+        return None
+    return sorted(row.value for row in spark.read.text(path).collect() if not row.value.startswith("#"))
+
+
 def live_marks(spark: SparkSession, root: str) -> dict[str, int]:
     """The marks of the live version."""
     marks = (line[1:].rsplit("=", 1) for line in _lines(spark, root) if line.startswith("#"))
