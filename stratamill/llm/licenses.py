@@ -1,16 +1,19 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-Blocks are windows of words over the whole text, whatever its lines; templates short
-notices; both are sets of words. A window about as long as a notice matches where it
-holds at least ``CONTAINMENT`` of the notice's words, and a longer one where it holds all
-of them. The join is that of prefix filtering:
+Blocks are windows of words over the whole text, whatever its lines; templates are notices
+and paragraphs of licenses; both are sets of words. A window about as long as a notice
+matches where it holds at least ``CONTAINMENT`` of the notice's words, and a longer one
+where it holds all of them, as it must for notices of fewer than ``SHORT`` words: four of
+five common words say nothing. The join is that of prefix filtering:
 
 * words are ordered by their frequency over all documents, rarest first, counted in one
   pass that keeps only words of templates (its result is bounded by the template list);
 * a window with t of a template's words has one of its first ``size - t + 1``: windows
   are looked at around the places of these words only;
-* places with fewer than t template words around them are out (length filter); the
-  windows over the rest are verified.
+* a window's rarest template word is one of these places, so of the words around a place only
+  those that stand behind its own word in the order can count: places with fewer than t
+  of them are out (positional filter; what is shorter than t words is out with it, the
+  length filter). The windows over the rest are verified.
 
 The template side is a bounded parameter, so the join is evaluated within the row: no
 shuffle, no user function, and neither hot sources nor frequent lines gather anywhere.
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 # The phrases of the base rule.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Notices as their licenses word them.
+# Notices and paragraphs as their licenses word them. "All rights reserved" is a phrase above:
+# its words in any order are no notice.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
@@ -46,9 +50,38 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("reserved", "All rights reserved"),
+    (
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
+        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the"
+        " Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted, provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed"
+        " on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+    ),
+    (
+        "gpl",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+        " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License"
+        " for more details",
+    ),
+    (
+        "bsd",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following"
+        " disclaimer",
+    ),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 CONTAINMENT = 0.8
+SHORT = 10
 MAX_TEMPLATE_WORDS = 5000
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -67,13 +100,28 @@ def spaced_words(text: Column) -> Column:
 
 
 def template_words(text: str) -> frozenset[str]:
-    return frozenset(_words_of(text))
+    return frozenset(words_of(text))
 
 
-def _words_of(text: str) -> list[str]:
+def words_of(text: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in text.lower()).split()
 
 
+def least_common(size: int, share: float = CONTAINMENT) -> int:
+    """How many of a template's ``size`` words a window has to hold."""
+    # A little less than the product, against its rounding up.
+    return size if size < SHORT else max(1, math.ceil(size * share - 1e-9))
+
+
+def window_lengths(length: int) -> tuple[int, int]:
+    """Words of the windows for a notice of ``length`` words.
+
+    One that may lack some of the notice's has room for a comment mark per line, one that
+    holds all for further words such as "the terms of".
+    """
+    return length + length // 8, length + length * 3 // 5
+
+
 def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -91,13 +139,11 @@ class Template:
 
     @property
     def near(self) -> int:
-        """Words in a window that may lack some of the template's: a comment mark per line may come between."""
-        return self.length + self.length // 8
+        return window_lengths(self.length)[0]
 
     @property
     def far(self) -> int:
-        """Words in a window that holds all of the template's: others, such as "the terms of", may come between."""
-        return self.length + self.length * 3 // 5
+        return window_lengths(self.length)[1]
 
     def containment(self, words: Column, anchors: Column) -> Column:
         """Of the best window of a text; null where none matches."""
@@ -118,8 +164,12 @@ class Template:
             whole = F.when(common(block) == size, best(block, self.far) == size)
             return F.when(whole, F.lit(size)).otherwise(best(block, self.near))
 
-        blocks = F.transform(F.filter(anchors, lambda a: a["word"].isin(*self.prefix)), around)
-        blocks = F.filter(blocks, lambda block: common(block) >= self.least)
+        def hopeful(anchor: Column) -> Column:
+            place = F.array_position(own, anchor["word"]).cast("int")
+            behind = F.slice(own, F.greatest(place, F.lit(1)), F.lit(size))
+            return F.when(place.between(1, len(self.prefix)), F.size(F.array_intersect(behind, around(anchor))) >= self.least)
+
+        blocks = F.transform(F.filter(anchors, hopeful), around)
         most = F.array_max(F.filter(F.transform(blocks, found), lambda n: n >= self.least))
         return most.cast("double") / F.lit(float(size))
 
@@ -128,7 +178,7 @@ def ordered_templates(
     df: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, share: float = CONTAINMENT
 ) -> list[Template]:
     """The templates, their words in the order of their frequency over the documents of ``df``."""
-    sets = [(label, template_words(notice), len(_words_of(notice))) for label, notice in templates]
+    sets = [(label, template_words(notice), len(words_of(notice))) for label, notice in templates]
     vocabulary = sorted(frozenset().union(*[words for _, words, _ in sets]))
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"more than {MAX_TEMPLATE_WORDS} words in the templates")
@@ -138,9 +188,7 @@ def ordered_templates(
     order = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
     found = []
     for label, words, length in sets:
-        # A little less than the product, against its rounding up.
-        least = max(1, math.ceil(len(words) * share - 1e-9))
-        found.append(Template(label, tuple(w for w in order if w in words), least, length))
+        found.append(Template(label, tuple(w for w in order if w in words), least_common(len(words), share), length))
     return found
 
 

@@ -3,7 +3,15 @@
 from __future__ import annotations
 
 from stratamill.llm.hard_negatives import ANCHOR_EVERY, HIGH_PERCENT, LOW_PERCENT, NEGATIVES, POSITIVES, SCALE
-from stratamill.llm.licenses import CONTAINMENT, NOT_WORD, PHRASES, TEMPLATES, template_words
+from stratamill.llm.licenses import (
+    NOT_WORD,
+    PHRASES,
+    TEMPLATES,
+    least_common,
+    template_words,
+    window_lengths,
+    words_of,
+)
 from stratamill.llm.parameters import SOURCE_WEIGHTS
 from stratamill.llm.prefix_trie import FAMILY, HEAD
 from stratamill.llm.quality import BASE_MEASURES, MAX_REPEAT_PERCENT, MEASURES, MIN_WORDS, RULES, STOP_WORDS
@@ -70,7 +78,15 @@ _PLACES = " UNION ALL ".join(
     + " AND ".join(f"words[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
     for phrase, label in PHRASES.items()
 )
-_TEMPLATES = ", ".join(f"('{label}', [{_quoted(sorted(template_words(notice)))}])" for label, notice in TEMPLATES)
+
+
+def _template(label: str, notice: str) -> str:
+    words = sorted(template_words(notice))
+    near, far = window_lengths(len(words_of(notice)))
+    return f"('{label}', [{_quoted(words)}], {least_common(len(words))}, {near}, {far})"
+
+
+_TEMPLATES = ", ".join(_template(*t) for t in TEMPLATES)
 
 LICENSES = rf"""
 WITH texts AS (
@@ -86,14 +102,20 @@ WITH texts AS (
 ), based AS (
   SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base
   FROM places GROUP BY rid
-), blocks AS (
-  SELECT rid, list_distinct(regexp_split_to_array(line, '{NOT_WORD}')) AS words
-  FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM texts)
-), templates(label, words) AS (
+), templates(label, wanted, least, near, far) AS (
   VALUES {_TEMPLATES}
+), near_templates AS (
+  SELECT * FROM (SELECT rid, words, list_distinct(words) AS vocabulary FROM split), templates
+  WHERE len(list_intersect(wanted, vocabulary)) >= least
+), windows AS (
+  SELECT *, unnest(range(1, greatest(len(words) - near + 1, 1) + 1)) AS i FROM near_templates
+), counted AS (
+  SELECT rid, label, wanted, least, len(list_intersect(wanted, words[i:i + near - 1])) AS n_near,
+         len(list_intersect(wanted, words[i:i + far - 1])) AS n_far
+  FROM windows
 ), matched AS (
-  SELECT rid, t.label, len(list_intersect(b.words, t.words))::DOUBLE / len(t.words)::DOUBLE AS score
-  FROM blocks b, templates t WHERE len(list_intersect(b.words, t.words)) >= ceil(len(t.words) * {CONTAINMENT} - 1e-9)
+  SELECT rid, label, CASE WHEN n_far = len(wanted) THEN n_far ELSE n_near END::DOUBLE / len(wanted)::DOUBLE AS score
+  FROM counted WHERE n_near >= least OR n_far = len(wanted)
 ), found AS (
   SELECT rid, max(score) AS score, list(DISTINCT label) AS labels FROM matched GROUP BY rid
 )
