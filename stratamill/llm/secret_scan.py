@@ -9,6 +9,8 @@ each other end. Characters of a layer carry the span of the original text they c
 a secret found in one is reported with that span. What cannot be decoded is replaced and
 hides nothing else. A base64 run that is no clean text as a whole is also read by its
 lines and parts and at all four alignments; each reading that shows a secret is reported.
+Layers that differ from one another in the length of chains of codes of the percent sign alone
+(``%252525``) are skipped.
 
 Each text is handled by itself in Arrow batches: no shuffle, no state between rows, and
 a lost task is simply done again. Memory is that of one batch and one text's layers.
@@ -17,7 +19,8 @@ Defined cases: a null text counts as empty and has no spans; empty tables give a
 result; repeated rows are scanned each; equal spans of one kind count once; extra
 columns are not read. Compressed runs are read to the end of their last stream. One that
 unpacks to more than ``MAX_UNPACKED`` bytes is scanned in overlapping pieces of that size,
-one at a time, and counted in ``n_oversized``; of an encoded run inside it that is longer
+one at a time, and counted in ``n_oversized`` (more than ``MAX_COMPRESSIONS`` compressions
+directly in each other are not unwrapped); of an encoded run inside it that is longer
 than the overlap and crosses two pieces, each piece is read by itself.
 """
 
@@ -55,6 +58,8 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 # A secret is printable ASCII: text around codes is decoded as far as that goes.
 _STRETCH = re.compile(r"[\x20-\x7e]+")
 _CODES = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+# A chain of codes of the percent sign, which loses one code a layer.
+_CHAIN = re.compile(r"%(?:25){4,}")
 # Codes of bytes, which may be compressed ones; from the start of a run, so that one without any code is read once.
 _PLAIN = r"[A-Za-z0-9._~:/?\[\]@!$&'()*+,;=-]"
 _PERCENT = re.compile(rf"(?<!{_PLAIN})(?:{_PLAIN}*%[0-9A-Fa-f]{{2}})+{_PLAIN}*")
@@ -71,6 +76,8 @@ _LEGIBLE = re.compile(rb"[\x20-\x7e]{16}")
 _ESCAPED_BYTES = re.compile("[\udc80-\udcff]")
 
 MAX_UNPACKED = 64 << 20
+# Layers of compression, one directly in the other: streams that unpack to ever longer ones of their kind exist.
+MAX_COMPRESSIONS = 100
 
 
 @dataclass(frozen=True)
@@ -207,15 +214,38 @@ def _reader(source):
     return _Zstd(source) if head[:4] == b"\x28\xb5\x2f\xfd" else None
 
 
+def _opened(data: bytes, depth: int) -> io.BufferedReader:
+    """The bytes below some layers of compression."""
+    source = io.BufferedReader(io.BytesIO(data))
+    for _ in range(depth):
+        source = io.BufferedReader(_Readable(_reader(source)))
+    return source
+
+
+def _whole_digest(data: bytes, depth: int) -> bytes:
+    source, digest = _opened(data, depth), hashlib.sha256()
+    while block := source.read(1 << 20):
+        digest.update(block)
+    return digest.digest()
+
+
 def _unpacked(data: bytes) -> Iterator[tuple[bytes, bool]]:
-    """Pieces of the unpacked bytes, unpacked as often as they are compressed; whether a piece is the second."""
-    source, seen = io.BufferedReader(io.BytesIO(data)), set()
+    """Pieces of the unpacked bytes, unpacked as often as they are compressed; whether a piece is the second.
+
+    A layer that equals an earlier one as a whole ends the unwrapping; layers are compared where they begin alike.
+    """
+    source, depth, heads, digests = _opened(data, 0), 0, {}, {}
     inner = _reader(source)
     if inner is None:
         return
-    while inner is not None and (mark := hashlib.sha256(source.peek(io.DEFAULT_BUFFER_SIZE)).digest()) not in seen:
-        seen.add(mark)
-        source = io.BufferedReader(_Readable(inner))
+    while inner is not None and depth < MAX_COMPRESSIONS:
+        alike = heads.setdefault(bytes(source.peek(io.DEFAULT_BUFFER_SIZE)), [])
+        alike.append(depth)
+        if len(alike) > 1:
+            digests |= {d: _whole_digest(data, d) for d in alike if d not in digests}
+            if any(digests[d] == digests[depth] for d in alike[:-1]):
+                break
+        source, depth = io.BufferedReader(_Readable(inner)), depth + 1
         inner = _reader(source)
     piece, count = b"", 0
     while block := source.read(MAX_UNPACKED - len(piece)):
@@ -236,7 +266,18 @@ def _bytes_layers(data: bytes, place: tuple[int, int]) -> Iterator[tuple[Layer |
 
 def _percent_layer(layer: Layer, start: int, end: int) -> Layer | None:
     out, last = Written(layer), start
-    for m in _CODES.finditer(layer.text, start, end):
+    codes = list(_CODES.finditer(layer.text, start, end))
+    chains = [_CHAIN.match(layer.text, m.start(), end) for m in codes if m.end() - m.start() == 3]
+    if chains and len(chains) == len(codes) and all(chains):
+        # The next layers differ in the chains' own digits only, until the shortest has two codes left.
+        cut = min(m.end() - m.start() for m in chains) - 5
+        for m in chains:
+            out.copy(last, m.start())
+            last = m.start() + 1 + cut
+            out.put("%", layer.span(m.start(), last))
+        out.copy(last, end)
+        return out.done()
+    for m in codes:
         out.copy(last, m.start())
         last, at = m.end(), m.start()
         for char in bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape"):

@@ -3,9 +3,11 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
+import time
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pytest
 import zstandard
@@ -97,6 +99,52 @@ def test_cycles_bombs_and_hostile_runs_end(monkeypatch):
     assert cut == 1 and len(every) == 1
 
 
+def test_chains_are_decoded_at_once():
+    started = time.process_time()
+    for codes in (50_000, 4, 3, 2, 1, 0):
+        code = "%" + "25" * codes + "3D"
+        for text in (f"x token{code}abcdefghijklmnop y", f"{code}%41 token{code}abcdef{code}%67hijklmn=op y"):
+            base, every, _ = scan(text)
+            found = {text[a:b] for kind, a, b in every if kind == "assign"}
+            assert any(f.startswith(f"token{code}abcdef") and f.endswith("op") for f in found), (codes, found)
+            assert base == base_spans(text)
+    assert time.process_time() - started < 20
+
+
+def layers_one_by_one(text):
+    """All texts that a printable text decodes to, a code of every chain at a time."""
+    out = []
+    while (inner := re.sub("(?:%[0-9A-F]{2})+", lambda m: unquote(m[0]), text)) != text:
+        out.append(text := inner)
+    return out
+
+
+def test_chains_lose_no_secret():
+    rng = random.Random(4)
+    for _ in range(300):
+        parts = ["token", "secret", "=", "abcdefghijklm", "AKIAABCDEFGHIJKLMN", "%3D", "%41", "%", "25", "x", " "]
+        text = "".join("%" + "25" * rng.randint(0, 9) + "3D" if rng.random() < 0.3 else rng.choice(parts) for _ in range(12))
+        shown = {layer[a:b] for layer in layers_one_by_one(text) for kind, a, b in base_spans(layer) if kind != "hex"}
+        decoded = set()
+        for kind, a, b in scan(text)[1]:
+            decoded |= {text[a:b], *layers_one_by_one(text[a:b])}
+        assert shown <= decoded, text
+
+
+def test_layers_that_begin_alike_are_told_apart_as_wholes():
+    """A stored gzip of a stored gzip begins like it; what they hold differs."""
+
+    def stored(data):
+        return gzip.compress(data, compresslevel=0, mtime=0)
+
+    head = b" " * 20_000
+    inner = stored(head + SECRET.encode() + head)
+    many = inner
+    for _ in range(6):
+        many = stored(many + head)
+    assert [kind for kind, *_ in scan(b64(many))[1]] == ["assign"]
+
+
 def test_clean_text_has_no_spans():
     prose = "Tokenization of secrets: 100% of passwords, see C:\\users\\x and a+b=c / antidisestablishmentarianism"
     assert scan(prose) == ([], [], 0)
