@@ -1,9 +1,10 @@
 """Gold models.
 
 Each model first aggregates the transactions by what it will join on, and joins
-the dimension to that much smaller result; a second, cheap aggregation gives
-the final grain. The outcome is the same as joining every row first, also
-when a dimension repeats a key or a key finds no match. But the join moves
+the dimension to that much smaller result. The dimension's equal rows are counted
+before the join, and the totals multiplied by that number, so the outcome is
+the same as joining every row first, also when a dimension repeats a key or a key
+finds no match; but no task holds the aggregated rows a second time. The join moves
 aggregated rows only, and a customer or product with a third of all rows has
 been folded on the map side before any shuffle.
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from stratamill.functions.days import AsOf, RunTime, as_of_day, run_time, within_days
 from stratamill.functions.money import from_cents, money_per, to_cents
-from stratamill.operators.enrich import with_dimension
+from stratamill.operators.enrich import REPEATS, with_counted_dimension, with_dimension
 
 HIGH_VALUE_ABOVE = 500
 HORIZON_DAYS = (30, 60, 90)
@@ -127,16 +128,8 @@ def _rfm(
             for name, days in zip(horizons, HORIZON_DAYS, strict=True)
         ],
     )
-    per_group = (
-        with_dimension(per_customer, customers, "customer_id", ["country_code"])
-        .groupBy("customer_id", "country_code")
-        .agg(
-            F.sum("total_orders").alias("total_orders"),
-            F.sum("lifetime_spend").alias("lifetime_spend"),
-            F.max("last_order_date").alias("last_order_date"),
-            F.min("first_order_date").alias("first_order_date"),
-            *[F.sum(name).alias(name) for name in horizons],
-        )
+    per_group = with_counted_dimension(per_customer, customers, "customer_id", ["country_code"]).withColumns(
+        {name: F.col(name) * F.col(REPEATS) for name in ("total_orders", "lifetime_spend", *horizons)}
     )
     recency = F.datediff(today, "last_order_date")
     segment = F
@@ -173,16 +166,8 @@ def product_months(transactions: DataFrame) -> DataFrame:
 
 def performance_from(months: DataFrame, products: DataFrame, *, run_ts: RunTime = None) -> DataFrame:
     """The model of the products' months."""
-    per_group = (
-        with_dimension(months, products, "product_id", ["category"])
-        .groupBy("product_id", "category", "txn_year", "txn_month")
-        .agg(
-            F.sum("units_sold").alias("units_sold"),
-            F.sum("priced").alias("priced"),
-            F.sum("cents").alias("cents"),
-            # All rows of a group repeat the same product month, hence the same buyers.
-            F.max("unique_buyers").alias("unique_buyers"),
-        )
+    per_group = with_counted_dimension(months, products, "product_id", ["category"]).withColumns(
+        {name: F.col(name) * F.col(REPEATS) for name in ("units_sold", "priced", "cents")}
     )
     revenue = from_cents("cents")
     return per_group.select(

@@ -104,6 +104,18 @@ def test_dimension_meets_aggregated_rows_only(spark, facts, dimensions, model):
     assert fact_side.index("HashAggregate") < fact_side.index("Range (0, 240000")
 
 
+def above_join(frame, key):
+    """What stands above the sort-merge join by one key."""
+    return plan(frame).split(f"SortMergeJoin [{key}#")[0]
+
+
+def test_product_months_are_not_aggregated_again_after_the_join(spark, facts, dimensions):
+    months = spark.createDataFrame([], gold.product_months(facts).schema)
+    with settings(spark, NO_BROADCAST):
+        assert "Aggregate" not in above_join(gold.performance_from(months, dimensions[1]), "product_id")
+        assert "Aggregate" not in above_join(gold.customer_rfm(facts, dimensions[0]), "customer_id")
+
+
 SPLIT_EARLY = {
     **NO_BROADCAST,
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
