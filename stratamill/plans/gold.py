@@ -65,14 +65,13 @@ def daily_part(
         )
     )
     return (
-        with_dimension(per_customer, customers, "customer_id", ["country_code"])
+        with_counted_dimension(per_customer, customers, "customer_id", ["country_code"])
         .groupBy(*by, "txn_date", "category", "country_code")
         .agg(
-            F.sum("total_transactions").alias("total_transactions"),
-            F.sum("priced").alias("priced"),
-            F.sum("cents").alias("cents"),
-            F.countDistinct("customer_id").alias("unique_customers"),
-            F.sum("high_value_orders").alias("high_value_orders"),
+            *[F.sum(F.col(name) * F.col(REPEATS)).alias(name) for name in ("total_transactions", "priced", "cents")],
+            # A customer has one row in a group.
+            F.count("customer_id").alias("unique_customers"),
+            F.sum(F.col("high_value_orders") * F.col(REPEATS)).alias("high_value_orders"),
         )
     )
 

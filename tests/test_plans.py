@@ -116,6 +116,13 @@ def test_product_months_are_not_aggregated_again_after_the_join(spark, facts, di
         assert "Aggregate" not in above_join(gold.customer_rfm(facts, dimensions[0]), "customer_id")
 
 
+def test_daily_revenue_keeps_no_customers_after_the_join(spark, facts, dimensions):
+    with settings(spark, NO_BROADCAST):
+        text = above_join(gold.daily_revenue(facts, *dimensions), "customer_id")
+    keys = [line.split("keys=")[1].split("], ")[0] for line in text.splitlines() if "Aggregate(keys=" in line]
+    assert len(keys) == 2 and not any("customer_id" in k for k in keys)
+
+
 SPLIT_EARLY = {
     **NO_BROADCAST,
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
