@@ -123,6 +123,12 @@ def test_daily_revenue_keeps_no_customers_after_the_join(spark, facts, dimension
     assert len(keys) == 2 and not any("customer_id" in k for k in keys)
 
 
+def test_units_are_added_up_without_a_table_of_months_after_the_join(spark):
+    with settings(spark, NO_BROADCAST):
+        text = above_join(queries.units_conservation(spark, SF_DIR), "product_id")
+    assert "Aggregate(keys=[]" in text and "Aggregate(keys=[product_id" not in text
+
+
 SPLIT_EARLY = {
     **NO_BROADCAST,
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
